@@ -69,7 +69,7 @@ def q_derived_features(spark, sf_dir):
 def q_lexicon_sentiment(spark, sf_dir):
     from critica.functions.sentiment import add_sentiment
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    s = add_sentiment(docs, "text")
+    s = add_sentiment(docs, "text", keys=["doc_id"])
     return s.select("doc_id", r6("sentiment_score").alias("sentiment_score"), "sentiment_label")
 
 

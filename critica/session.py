@@ -23,9 +23,16 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "critica",
-              extra: dict[str, str] | None = None) -> SparkSession:
+              extra: dict[str, str] | None = None, driver_memory: str = "16g") -> SparkSession:
+    """A session for tests and local runs (on a cluster the launcher builds the session).
+
+    In local mode the driver JVM is the only executor, so its heap is the execution memory for sorts and
+    aggregations; the 1g default would make every sort spill.
+    """
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
+    if master.startswith("local"):
+        conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
