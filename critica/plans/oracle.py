@@ -164,3 +164,146 @@ select * replace (round(sentiment_score, 6) as sentiment_score) from fact"""
 ORACLE["sentiment_trends"] = with_ctes(*GOLD, MART_SQL) + """
 select * replace (round(positive_rate, 6) as positive_rate, round(avg_sentiment_score, 6) as avg_sentiment_score)
 from mart"""
+
+# ---- interactions, ids, split, recommendations ----------------------------------------------------------
+RATED_SQL = f"""
+rated as (
+  select steamid, appid, dt,
+         0.6 * (case when voted_up then 1.0 else 0.0 end)
+         + 0.4 * greatest(least(ln(1.0 + greatest(coalesce(playtime_at_review::double, 0.0), 0.0) / 60.0)
+                                / ln(1.0 + {fx.BOOST_CAP_HOURS!r}), 1.0), 0.0) as implicit_rating
+  from filt
+)"""
+
+INTER_SQL = """
+inter as (
+  select steamid, appid, max(implicit_rating) as rating from rated where steamid is not null group by steamid, appid
+)"""
+
+KEPT = [REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, RATED_SQL, INTER_SQL]
+
+
+def split_sql(cols: str = "steamid, appid", seed: int = 42) -> str:
+    parts = ", ".join(f"cast({c.strip()} as varchar)" for c in cols.split(","))
+    return f"(('0x' || substr(md5(concat_ws('|', {parts}, '{seed}')), 1, 8))::bigint % 1000)"
+
+
+SPLIT_SQL = f"""
+train as (select * from inter where {split_sql()} < 800),
+test as (select * from inter where {split_sql()} >= 800)"""
+
+POP_SQL = """
+pop as (
+  select appid, pop, row_number() over (order by pop desc, appid asc) as r
+  from (select appid, count(distinct steamid) as pop from inter group by appid)
+)"""
+
+TOPN_SQL = """
+topn as (
+  select steamid, appid, rank, score from (
+    select u.steamid, p.appid, p.pop::double as score,
+           row_number() over (partition by u.steamid order by p.pop desc, p.appid asc) as rank
+    from (select distinct steamid from inter) u cross join pop p
+    where not exists (select 1 from inter i where i.steamid = u.steamid and i.appid = p.appid))
+  where rank <= 10
+)"""
+
+KUSERS_SQL = f"""
+kusers as (
+  select {sk('steamid')} as user_sk, steamid from filt
+  where steamid is not null and recommendationid is not null and appid is not null group by steamid
+)"""
+
+RECS_SQL = """
+recs as (
+  select k.user_sk, t.appid::bigint as ranked_appid, t.rank::bigint as rank, t.score,
+         timestamp '2024-01-01 00:00:00' as generated_at
+  from topn t join kusers k using (steamid)
+)"""
+
+ORACLE["interaction_matrix"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, RATED_SQL) + """
+select steamid as user_sk, appid, dt, round(max(implicit_rating), 6) as implicit_rating
+from rated group by steamid, appid, dt"""
+
+ORACLE["interactions_user_item"] = with_ctes(*KEPT) + """
+select steamid, appid, round(rating, 6) as rating from inter"""
+
+ORACLE["surrogate_keys"] = f"""
+select 'customer' as kind, cast(c_custkey as varchar) as natural_key, {sk('c_custkey')} as sk from customer
+union all
+select 'part' as kind, cast(p_partkey as varchar) as natural_key, {sk('p_partkey')} as sk from part"""
+
+ORACLE["dense_user_index"] = with_ctes(*KEPT) + """
+select steamid, (dense_rank() over (order by steamid) - 1)::integer as user_idx
+from (select distinct steamid from inter)"""
+
+ORACLE["dense_item_index"] = with_ctes(*KEPT) + """
+select appid, (dense_rank() over (order by appid) - 1)::integer as item_idx
+from (select distinct appid from inter)"""
+
+ORACLE["hash_split"] = with_ctes(*KEPT) + f"""
+select steamid, appid, case when {split_sql()} < 800 then 'train' else 'test' end as split from inter"""
+
+ORACLE["topn_unseen"] = with_ctes(*KEPT, POP_SQL, TOPN_SQL) + """
+select steamid, appid, rank::bigint as rank, score from topn"""
+
+ORACLE["ranking_metrics"] = with_ctes(*KEPT, SPLIT_SQL) + """,
+tpop as (
+  select appid, row_number() over (order by pop desc, appid asc) as pos
+  from (select appid, count(distinct steamid) as pop from train group by appid)
+),
+topk as (select appid, pos from tpop where pos <= 10),
+eu as (select distinct steamid from test where steamid in (select steamid from train)),
+pred as (select eu.steamid, topk.appid, topk.pos from eu cross join topk),
+lab as (select distinct steamid, appid from test),
+nl as (select steamid, count(*) as n_labels from lab group by steamid),
+hits as (
+  select p.steamid, count(*) as n_hits, sum(1.0 / log2(p.pos + 1.0)) as dcg
+  from pred p join lab l on p.steamid = l.steamid and p.appid = l.appid group by p.steamid
+),
+pu as (
+  select eu.steamid, coalesce(h.n_hits, 0)::double / 10.0 as precision,
+         coalesce(h.dcg, 0.0) / (select sum(1.0 / log2(i + 1.0)) from range(1, least(nl.n_labels, 10) + 1) t(i))
+           as ndcg
+  from eu join nl using (steamid) left join hits h using (steamid)
+)
+select 10 as k, count(*) as n_users, round(avg(precision), 6) as precision_at_k, round(avg(ndcg), 6) as ndcg_at_k
+from pu"""
+
+ORACLE["recommendation_lookup"] = with_ctes(*KEPT, POP_SQL, TOPN_SQL, KUSERS_SQL, RECS_SQL) + """
+select user_sk, rank, ranked_appid, score from recs
+where cast(generated_at as date) = date '2024-01-01' and rank <= 5
+  and user_sk in (select user_sk from kusers)"""
+
+ORACLE["load_verify_by_dt"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL) + """
+select dt, count(*) as n_rows from filt group by dt"""
+
+ORACLE["load_verify_recs"] = with_ctes(*KEPT, POP_SQL, TOPN_SQL, KUSERS_SQL, RECS_SQL) + """
+select count(*) as n_rows, count(distinct user_sk) as n_users from recs"""
+
+
+def _dq_sql() -> str:
+    from critica.operators.quality import DEFAULT_CHECKS
+    names = {"stg_reviews": "stg", "dim_games": "games", "dim_users": "users", "fact_reviews": "fact",
+             "mart_game_sentiment_trends": "mart"}
+    parts = []
+    for ch in DEFAULT_CHECKS:
+        t, c, p = names[ch.table], ch.column, ch.params
+        if ch.kind == "not_null":
+            q = f"select count(*) from {t} where {c} is null"
+        elif ch.kind == "unique":
+            q = f"select count(*) from (select {c} from {t} where {c} is not null group by {c} having count(*) > 1)"
+        elif ch.kind == "relationships":
+            q = (f"select count(*) from {t} x where x.{c} is not null and not exists "
+                 f"(select 1 from {names[p['to']]} y where y.{p['field']} = x.{c})")
+        elif ch.kind == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in p["values"])
+            q = f"select count(*) from {t} where {c} is not null and {c} not in ({vals})"
+        else:
+            q = f"select count(*) from {t} where {c} is not null and ({c} < {p['lo']!r} or {c} > {p['hi']!r})"
+        parts.append(f"select '{ch.name}' as test, '{ch.kind}' as kind, '{ch.table}' as \"table\", "
+                     f"'{c}' as \"column\", ({q})::bigint as failures")
+    return with_ctes(*GOLD, MART_SQL) + "\n" + "\nunion all\n".join(parts)
+
+
+ORACLE["dq_summary"] = _dq_sql()

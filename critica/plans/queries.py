@@ -114,3 +114,131 @@ def q_sentiment_trends(spark, sf_dir):
     m = g["mart_game_sentiment_trends"]
     return m.withColumn("positive_rate", r6("positive_rate")) \
             .withColumn("avg_sentiment_score", r6("avg_sentiment_score"))
+
+
+# ---------------------------------------------------------------------------------------------------------
+# interactions, ids, split, recommendations, metrics
+# ---------------------------------------------------------------------------------------------------------
+def kept_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows without the text features: the rating queries need only the kept (deduped, filtered) rows."""
+    return sv.filter_junk(sv.deduplicate(reviews_view(spark, sf_dir)))
+
+
+def users_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_users over the kept rows (same rows as staging; only the columns the dimension needs)."""
+    k = kept_reviews(spark, sf_dir).where(F.col("recommendationid").isNotNull() & F.col("appid").isNotNull())
+    return gold.dim_users(k)
+
+
+def interactions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from critica.operators.interactions import interactions
+    return interactions(kept_reviews(spark, sf_dir))
+
+
+@query("interaction_matrix")
+def q_interaction_matrix(spark, sf_dir):
+    from critica.operators.interactions import interaction_matrix
+    m = interaction_matrix(kept_reviews(spark, sf_dir))
+    return m.withColumn("implicit_rating", r6("implicit_rating"))
+
+
+@query("interactions_user_item")
+def q_interactions(spark, sf_dir):
+    return interactions_frame(spark, sf_dir).withColumn("rating", r6("rating"))
+
+
+@query("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    from critica.functions.keys import surrogate_key
+    c = read_table(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"),
+                                                       F.col("c_custkey").cast("string").alias("natural_key"))
+    p = read_table(spark, sf_dir, "part").select(F.lit("part").alias("kind"),
+                                                   F.col("p_partkey").cast("string").alias("natural_key"))
+    return c.unionByName(p).withColumn("sk", surrogate_key("natural_key"))
+
+
+@query("dense_user_index")
+def q_dense_user_index(spark, sf_dir):
+    from critica.operators.index import dense_index
+    return dense_index(interactions_frame(spark, sf_dir), "steamid", "user_idx")
+
+
+@query("dense_item_index")
+def q_dense_item_index(spark, sf_dir):
+    from critica.operators.index import dense_index
+    return dense_index(interactions_frame(spark, sf_dir), "appid", "item_idx")
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    from critica.operators.split import with_split
+    return with_split(interactions_frame(spark, sf_dir), ["steamid", "appid"]).select("steamid", "appid", "split")
+
+
+@query("topn_unseen")
+def q_topn_unseen(spark, sf_dir):
+    from critica.operators.recommend import popular_unseen_top_n
+    return popular_unseen_top_n(interactions_frame(spark, sf_dir), 10)
+
+
+def popularity_eval_inputs(spark, sf_dir, k: int = 10):
+    """Train/test by hash split; predictions = the train top-k for every test user also present in train."""
+    from critica.operators.recommend import popular_top_k
+    from critica.operators.split import hash_split
+    train, test = hash_split(interactions_frame(spark, sf_dir), ["steamid", "appid"])
+    topk = popular_top_k(train, k).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("r", "appid"))), lambda x: x["appid"]).alias("a"))
+    users = test.select("steamid").distinct().join(train.select("steamid").distinct(), "steamid")
+    pred = users.select("steamid", F.posexplode(topk.scalar()).alias("p0", "appid")) \
+        .select("steamid", "appid", (F.col("p0") + 1).alias("pos"))
+    return pred, test.select("steamid", "appid")
+
+
+@query("ranking_metrics")
+def q_ranking_metrics(spark, sf_dir):
+    from critica.operators.metrics import ranking_metrics
+    pred, labels = popularity_eval_inputs(spark, sf_dir, 10)
+    m = ranking_metrics(pred, labels, 10, user="steamid", item="appid")
+    return m.select("k", "n_users", r6("precision_at_k").alias("precision_at_k"), r6("ndcg_at_k").alias("ndcg_at_k"))
+
+
+def popularity_recs(spark, sf_dir, top_n: int = 10, generated_at: str = "2024-01-01 00:00:00") -> DataFrame:
+    """Published-shape recommendations (user_sk, ranked_appid, rank, score, generated_at) from the popularity
+    baseline, mapped to user_sk through dim_users."""
+    from critica.operators.recommend import popular_unseen_top_n
+    top = popular_unseen_top_n(interactions_frame(spark, sf_dir), top_n)
+    users = users_frame(spark, sf_dir)
+    return (top.join(users.select("steamid", "user_sk"), "steamid")
+            .select(F.col("user_sk").cast("bigint"), F.col("appid").cast("bigint").alias("ranked_appid"),
+                    "rank", "score", F.to_timestamp(F.lit(generated_at)).alias("generated_at")))
+
+
+@query("recommendation_lookup")
+def q_recommendation_lookup(spark, sf_dir):
+    from critica.operators.serve import recommendations_for_users
+    recs = popularity_recs(spark, sf_dir)
+    users = users_frame(spark, sf_dir).select("user_sk")
+    return recommendations_for_users(recs, users, top_n=5, day="2024-01-01")
+
+
+@query("load_verify_by_dt")
+def q_load_verify_by_dt(spark, sf_dir):
+    return kept_reviews(spark, sf_dir).groupBy("dt").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("load_verify_recs")
+def q_load_verify_recs(spark, sf_dir):
+    recs = popularity_recs(spark, sf_dir)
+    return recs.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_sk").alias("n_users"))
+
+
+@query("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    from critica.operators.quality import run_suite
+    from critica.session import checkpoint_dir
+    checkpoint_dir(spark)
+    # staging feeds five tables and 24 tests: materialise it once (reliable checkpoint in the shared folder)
+    stg = stg_frame(spark, sf_dir).checkpoint(eager=True)
+    tables = gold.build_gold(stg)
+    tables["stg_reviews"] = stg
+    return run_suite(tables)
