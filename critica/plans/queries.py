@@ -242,3 +242,13 @@ def q_dq_summary(spark, sf_dir):
     tables = gold.build_gold(stg)
     tables["stg_reviews"] = stg
     return run_suite(tables)
+
+
+@query("als_recommend")
+def q_als_recommend(spark, sf_dir):
+    """ALS unseen top-10 over the whole reviews view (no oracle: factorisation is not bit-stable across
+    layouts; the invariants are checked in tests)."""
+    from critica.plans.recommender import run_recommender
+    res = run_recommender(kept_reviews(spark, sf_dir), users_frame(spark, sf_dir), "2024-01-01 00:00:00",
+                          top_n=10, evaluate=False)
+    return res.recommendations
