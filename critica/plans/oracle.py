@@ -307,3 +307,66 @@ def _dq_sql() -> str:
 
 
 ORACLE["dq_summary"] = _dq_sql()
+
+# ---- bronze pages -----------------------------------------------------------------------------------------
+ORACLE["bronze_flatten"] = with_ctes(REVIEWS_SQL) + """
+select recommendationid, steamid, appid, dt, playtime_forever, playtime_at_review, num_reviews, votes_up,
+       votes_funny, weighted_vote_score, comment_count, voted_up, timestamp_created, timestamp_updated, language,
+       length(review)::bigint as review_length
+from reviews_v where dt is not null and appid is not null"""
+
+CONV_PAGES_SQL = r"""
+cp as (
+  select date '2024-01-01' as dt, conv_id as appid, turn as page_num, role as cursor,
+         len(list_filter(string_split(coalesce(text, ''), chr(10)),
+                         lambda x: length(regexp_replace(x, '[\s\p{Z}]+', '', 'g')) > 0))::integer as n_reviews
+  from conversations
+),
+cps as (
+  select *, coalesce(lag(cursor) over (partition by dt, appid order by page_num), '*') as sent_cursor from cp
+),
+fs as (select dt, appid, sent_cursor as c, min(page_num) as first_sent from cps group by all),
+st as (
+  select cps.*, case when coalesce(n_reviews, 0) = 0 then 'empty'
+                     when cursor = sent_cursor then 'unchanged_cursor'
+                     when coalesce(cursor, '') <> '' and fs.first_sent < page_num then 'revisited_cursor'
+                     else 'ok' end as status
+  from cps left join fs on fs.dt = cps.dt and fs.appid = cps.appid and fs.c = cps.cursor
+),
+audit as (
+  select *, (min(case when status <> 'ok' then page_num end) over (partition by dt, appid)) as first_stop from st
+)"""
+
+ORACLE["page_chain_audit"] = with_ctes(CONV_PAGES_SQL) + """
+select dt, appid, page_num, cursor, n_reviews, sent_cursor, status,
+       (first_stop is null or page_num < first_stop) as kept
+from audit"""
+
+ORACLE["resume_state"] = with_ctes(CONV_PAGES_SQL) + """,
+k as (select * from audit where first_stop is null or page_num < first_stop),
+s as (select dt, appid, arg_max(cursor, page_num) as next_cursor, max(page_num) + 1 as next_page_num
+      from k group by dt, appid)
+select c.dt, c.appid, coalesce(s.next_cursor, '*') as next_cursor, coalesce(s.next_page_num, 0)::bigint as next_page_num
+from (select distinct dt, appid from audit) c left join s on s.dt = c.dt and s.appid = c.appid"""
+
+ORACLE["app_summary"] = with_ctes(REVIEWS_SQL) + """,
+j as (
+  select appid, dt, voted_up,
+         (row_number() over (partition by dt, appid order by recommendationid asc nulls last,
+                             timestamp_updated asc nulls last, steamid asc nulls last) - 1) // 100 as page_num
+  from reviews_v where dt is not null and appid is not null
+),
+pg as (
+  select appid, dt, page_num, count(*) as n, count(*) filter (where voted_up) as pos from j group by all
+),
+latest as (select appid, arg_max(struct_pack(n := n, pos := pos), struct_pack(dt := dt, page_num := page_num)) as q
+           from pg group by appid)
+select appid, cast(null as varchar) as name, cast(null as bigint) as review_score,
+       cast(null as varchar) as review_score_desc, q.n as num_reviews, q.pos as total_positive,
+       q.n - q.pos as total_negative, q.n as total_reviews
+from latest"""
+
+ORACLE["target_item_restrict"] = with_ctes(REVIEWS_SQL) + """,
+pop as (select appid, count(distinct steamid) as pop from reviews_v where steamid is not null group by appid),
+t as (select appid from pop order by pop desc, appid asc limit 50)
+select appid, count(*) as n_reviews from reviews_v where appid in (select appid from t) group by appid"""

@@ -252,3 +252,55 @@ def q_als_recommend(spark, sf_dir):
     res = run_recommender(kept_reviews(spark, sf_dir), users_frame(spark, sf_dir), "2024-01-01 00:00:00",
                           top_n=10, evaluate=False)
     return res.recommendations
+
+
+# ---------------------------------------------------------------------------------------------------------
+# bronze pages
+# ---------------------------------------------------------------------------------------------------------
+@query("bronze_flatten")
+def q_bronze_flatten(spark, sf_dir):
+    """Reviews packed into source pages, serialised to JSON, parsed back with the page schema, flattened."""
+    from critica.sources.bronze import pages_from_json, pages_from_reviews, pages_to_json
+    pages = pages_from_json(pages_to_json(pages_from_reviews(reviews_view(spark, sf_dir))))
+    flat = sv.flatten_reviews(pages)
+    return flat.select("recommendationid", "steamid", "appid", "dt", "playtime_forever", "playtime_at_review",
+                       "num_reviews", "votes_up", "votes_funny", "weighted_vote_score", "comment_count",
+                       "voted_up", "timestamp_created", "timestamp_updated", "language",
+                       F.length("review").cast("bigint").alias("review_length"))
+
+
+def conv_pages(spark, sf_dir):
+    from critica.operators.pages import conversation_pages
+    return conversation_pages(read_table(spark, sf_dir, "conversations"))
+
+
+@query("page_chain_audit")
+def q_page_chain_audit(spark, sf_dir):
+    from critica.operators.pages import page_chain_audit
+    return page_chain_audit(conv_pages(spark, sf_dir)).select(
+        "dt", "appid", "page_num", "cursor", "n_reviews", "sent_cursor", "status", "kept")
+
+
+@query("resume_state")
+def q_resume_state(spark, sf_dir):
+    from critica.operators.pages import page_chain_audit, resume_state
+    return resume_state(page_chain_audit(conv_pages(spark, sf_dir)))
+
+
+@query("app_summary")
+def q_app_summary(spark, sf_dir):
+    from critica.operators.pages import app_summary
+    from critica.sources.bronze import pages_from_reviews
+    return app_summary(pages_from_reviews(reviews_view(spark, sf_dir)))
+
+
+@query("target_item_restrict")
+def q_target_item_restrict(spark, sf_dir):
+    """Reviews of the target items only (left-semi join); the target list is the 50 most reviewed items."""
+    from critica.operators.recommend import popularity
+    from critica.sources.bronze import first_items
+    rv = reviews_view(spark, sf_dir)
+    ranked = popularity(rv.select("steamid", "appid").where(F.col("steamid").isNotNull()))
+    targets = first_items(ranked, 50, "r").select("appid")
+    kept = rv.join(targets, "appid", "left_semi")
+    return kept.groupBy("appid").agg(F.count(F.lit(1)).alias("n_reviews"))
