@@ -370,3 +370,24 @@ ORACLE["target_item_restrict"] = with_ctes(REVIEWS_SQL) + """,
 pop as (select appid, count(distinct steamid) as pop from reviews_v where steamid is not null group by appid),
 t as (select appid from pop order by pop desc, appid asc limit 50)
 select appid, count(*) as n_reviews from reviews_v where appid in (select appid from t) group by appid"""
+
+# ---- writes, incremental, retention --------------------------------------------------------------------
+ORACLE["partition_overwrite"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, RATED_SQL) + """
+select steamid as user_sk, appid, round(max(implicit_rating), 6) as implicit_rating,
+       date_trunc('month', dt)::date as dt
+from rated group by steamid, appid, date_trunc('month', dt)"""
+
+ORACLE["fact_incremental"] = with_ctes(*BASE, STG_SQL, FACT_SQL) + """
+select * replace (round(sentiment_score, 6) as sentiment_score) from fact
+where dt >= (select max(dt) from stg where dt < (select max(dt) from stg) - interval 90 day)"""
+
+_TIERS = """
+days as (select distinct dt from filt where dt is not null),
+aged as (select dt, datediff('day', dt, (select max(dt) from days))::integer as age_days from days)"""
+
+ORACLE["partition_tiers"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, _TIERS) + """
+select dt, age_days, case when age_days > 180 then 'expired' when age_days > 30 then 'cold' else 'hot' end as tier
+from aged"""
+
+ORACLE["expired_partitions"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, _TIERS) + """
+select dt, age_days, 'expired' as tier from aged where age_days > 180"""

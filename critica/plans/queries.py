@@ -304,3 +304,49 @@ def q_target_item_restrict(spark, sf_dir):
     targets = first_items(ranked, 50, "r").select("appid")
     kept = rv.join(targets, "appid", "left_semi")
     return kept.groupBy("appid").agg(F.count(F.lit(1)).alias("n_reviews"))
+
+
+# ---------------------------------------------------------------------------------------------------------
+# writes, incremental builds, retention
+# ---------------------------------------------------------------------------------------------------------
+@query("partition_overwrite")
+def q_partition_overwrite(spark, sf_dir):
+    """Write the monthly interaction matrix, rewrite only its first month, read everything back: the other
+    months must be untouched and the rewritten month present once (dynamic partition overwrite)."""
+    from critica.operators.interactions import interaction_matrix
+    from critica.session import scratch_path
+    from critica.sources.sinks import read_matrix, write_matrix
+    monthly = kept_reviews(spark, sf_dir).withColumn("dt", F.trunc("dt", "month"))
+    m = interaction_matrix(monthly)
+    root = scratch_path(spark, "matrix")
+    write_matrix(m, root)
+    write_matrix(m.where(F.col("dt") == m.select(F.min("dt")).scalar()), root)
+    return read_matrix(spark, root).withColumn("implicit_rating", r6("implicit_rating"))
+
+
+@query("fact_incremental")
+def q_fact_incremental(spark, sf_dir):
+    """Incremental fact build: the existing fact holds the days before the last 90; the run rebuilds every day
+    >= max(existing dt) (so the last existing day is re-processed, as an insert-overwrite would)."""
+    from critica.session import checkpoint_dir
+    checkpoint_dir(spark)
+    stg = stg_frame(spark, sf_dir).checkpoint(eager=True)
+    cut = stg.select(F.date_sub(F.max("dt"), 90)).scalar()
+    existing = gold.fact_reviews(stg.where(F.col("dt") < cut))
+    inc = gold.fact_incremental(stg, existing)
+    return inc.withColumn("sentiment_score", r6("sentiment_score"))
+
+
+@query("partition_tiers")
+def q_partition_tiers(spark, sf_dir):
+    """Age and storage tier of every silver day, relative to the newest day."""
+    from critica.operators.retention import partition_ages
+    days = kept_reviews(spark, sf_dir).select("dt")
+    return partition_ages(days, days.select(F.max("dt")).scalar())
+
+
+@query("expired_partitions")
+def q_expired_partitions(spark, sf_dir):
+    from critica.operators.retention import expired_partitions
+    days = kept_reviews(spark, sf_dir).select("dt")
+    return expired_partitions(days, days.select(F.max("dt")).scalar(), "silver")
