@@ -172,6 +172,22 @@ def _exclaim(txt: Column, sc: LexiconScorer) -> Column:  # noqa: D103
     return n.cast("double") * F.lit(sc.exclaim_boost)
 
 
+def pandas_scorer(make_scorer):
+    """Wrap a Python scorer as an Arrow-batched *iterator* pandas UDF: ``make_scorer()`` runs once per task (a
+    model or analyser is built once, not per batch), then scores every batch of texts. Plug it into
+    :func:`add_sentiment` as ``scorer=`` when a model must replace the lexicon rules."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def score(batches):
+        fn = make_scorer()
+        for texts in batches:
+            yield pd.Series([float(fn(t or "")) for t in texts], dtype="float64")
+
+    return score
+
+
 def add_sentiment(df: DataFrame, text_col: str = "review", scorer=None, keys: list[str] | None = None,
                   score_col: str = "sentiment_score", label_col: str = "sentiment_label") -> DataFrame:
     """Add ``sentiment_score`` (double) and ``sentiment_label`` (pos/neu/neg).

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from critica.functions.keys import surrogate_key
+from critica.functions.keys import hashed_id, surrogate_key
 
 STG_COLUMNS = [
     "review_id", "appid", "steamid", "playtime_forever", "playtime_at_review", "num_reviews", "language",
@@ -82,12 +82,15 @@ def dim_games(stg: DataFrame, key_algo: str = "md5", summary: DataFrame | None =
     )
 
 
-def dim_users(stg: DataFrame, key_algo: str = "md5") -> DataFrame:
+def dim_users(stg: DataFrame, key_algo: str = "md5", hash_user: bool = False, salt: str = "") -> DataFrame:
+    """One row per reviewer. ``hash_user`` replaces the natural id by its salted sha-256 (anonymised
+    dimension); the surrogate key is still derived from the natural id so facts keep joining."""
     u = stg.where(F.col("steamid").isNotNull()).groupBy("steamid").agg(
         F.max("num_reviews").alias("num_reviews"),
         F.min(F.timestamp_seconds("timestamp_created")).alias("first_review_ts"),
     )
-    return u.select(surrogate_key("steamid", key_algo).alias("user_sk"), "steamid", "num_reviews",
+    sid = hashed_id("steamid", salt) if hash_user else F.col("steamid")
+    return u.select(surrogate_key("steamid", key_algo).alias("user_sk"), sid.alias("steamid"), "num_reviews",
                     "first_review_ts")
 
 

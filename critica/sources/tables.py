@@ -40,6 +40,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
+    """Expose the tables by name as temporary views (``spark.table(name)`` / SQL)."""
+    for n in names:
+        read_table(spark, sf_dir, n).createOrReplaceTempView(n)
+
+
 def language_name(code) -> F.Column:
     c = F.col(code) if isinstance(code, str) else code
     expr = None
