@@ -96,9 +96,20 @@ def _is_caps(t: Column) -> Column:
 
 
 def _map_literal(d: dict[str, float]) -> Column:
-    keys = sorted(d)
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(float(d[k])) for k in keys]))
+    """A constant map as one JSON literal (constant-folded once by Catalyst; one call to build)."""
+    import json
+    return F.from_json(F.lit(json.dumps({k: float(v) for k, v in sorted(d.items())})), "map<string,double>")
+
+
+def _array_literal(words) -> Column:
+    import json
+    return F.from_json(F.lit(json.dumps(list(words))), "array<string>")
+
+
+def _in_words(col_name: str, words) -> Column:
+    """``col IN (...)`` as one SQL expression; Catalyst turns a long IN list into a hash-set lookup."""
+    quoted = ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(words))
+    return F.expr(f"`{col_name}` IN ({quoted})")
 
 
 def tokens(text: Column) -> Column:
@@ -115,7 +126,7 @@ def lexicon_score(text: Column, sc: LexiconScorer | None = None, toks: Column |
     toks = tokens(text) if toks is None else toks
     lex = _map_literal(sc.lexicon)
     boost = _map_literal(sc.boosters)
-    negs = F.array(*[F.lit(w) for w in sc.negators])
+    negs = _array_literal(sc.negators)
 
     # one struct per token with everything the fold needs; the token array is computed once per row
     feats = F.transform(toks, lambda t: F.struct(
@@ -217,14 +228,15 @@ def _token_row_sentiment(df: DataFrame, keys: list[str], text_col: str, sc: Lexi
     cols = df.columns
     words = sorted(set(sc.lexicon) | set(sc.boosters) | set(sc.negators) | {BUT_WORD})
     lex, boost = _map_literal(sc.lexicon), _map_literal(sc.boosters)
-    negs = F.array(*[F.lit(w) for w in sc.negators])
+    negs = _array_literal(sc.negators)
     txt = F.coalesce(F.col(text_col), F.lit(""))
 
     gen = df.select("*", txt.rlike("[a-z]").alias("__m"), _exclaim(txt, sc).alias("__e"),
                     F.posexplode_outer(tokens(F.col(text_col))).alias("__pos", "__tok"))
     anchor = F.coalesce(F.col("__pos"), F.lit(0)) == F.lit(0)
-    lw = F.lower(F.col("__tok"))
-    gen = gen.where(anchor | lw.isin(words)).select(
+    gen = gen.withColumn("__lw", F.lower(F.col("__tok")))
+    lw = F.col("__lw")
+    gen = gen.where(anchor | _in_words("__lw", words)).select(
         *[F.col(c) if c in keys else F.when(anchor, F.col(c)).alias(c) for c in cols],
         anchor.alias("__a"), F.col("__m"), F.col("__e"),
         F.coalesce(F.col("__pos"), F.lit(0)).alias("__pos"),

@@ -391,3 +391,8 @@ from aged"""
 
 ORACLE["expired_partitions"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, _TIERS) + """
 select dt, age_days, 'expired' as tier from aged where age_days > 180"""
+
+ORACLE["seen_anti_join"] = with_ctes(*KEPT, POP_SQL) + """
+select u.steamid, p.appid
+from (select distinct steamid from inter) u cross join (select appid from pop where r <= 20) p
+where not exists (select 1 from inter i where i.steamid = u.steamid and i.appid = p.appid)"""

@@ -350,3 +350,15 @@ def q_expired_partitions(spark, sf_dir):
     from critica.operators.retention import expired_partitions
     days = kept_reviews(spark, sf_dir).select("dt")
     return expired_partitions(days, days.select(F.max("dt")).scalar(), "silver")
+
+
+@query("seen_anti_join")
+def q_seen_anti_join(spark, sf_dir):
+    """candidates = the 20 most popular items (a top-k list, bounded by k) for every user; the pairs the user
+    has already seen are removed with a left-anti join on (user, item)."""
+    from critica.operators.recommend import popular_top_k
+    inter = interactions_frame(spark, sf_dir)
+    top = popular_top_k(inter, 20).agg(F.collect_list("appid").alias("a"))
+    users = inter.select("steamid").distinct()
+    cands = users.select("steamid", F.explode(top.scalar()).alias("appid"))
+    return cands.join(inter.select("steamid", "appid"), ["steamid", "appid"], "left_anti")
