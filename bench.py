@@ -133,6 +133,8 @@ def main() -> None:
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {"metric": "daily_batch_total", "value": total, "unit": "sec", "queries": times, "sf": sf,
            "rows": rows, "silver_rows_per_sec": round(st["n_raw"] / max(times["silver"], 1e-9), 1),
+           "silver_text_mb": round(st["raw_text_chars"] / 1e6, 1),
+           "silver_text_mb_per_sec": round(st["raw_text_chars"] / 1e6 / max(times["silver"], 1e-9), 2),
            "cpus": int(cpus), "warmup_sec": warmup}
     print(json.dumps(out))
     spark.stop()

@@ -122,8 +122,9 @@ class SilverStats:
         self.filtered = Observation("n_filtered")
 
     def get(self) -> dict[str, int]:
-        return {"n_raw": int(self.raw.get["n"]), "n_dedup": int(self.dedup.get["n"]),
-                "n_filtered": int(self.filtered.get["n"])}
+        raw = self.raw.get
+        return {"n_raw": int(raw["n"]), "n_dedup": int(self.dedup.get["n"]),
+                "n_filtered": int(self.filtered.get["n"]), "raw_text_chars": int(raw["chars"] or 0)}
 
 
 def silver(flat: DataFrame, language: str | None = "english", scorer: LexiconScorer | None = None,
@@ -135,7 +136,7 @@ def silver(flat: DataFrame, language: str | None = "english", scorer: LexiconSco
     """
     flat = flat.select(*FLAT_COLUMNS)
     if stats is not None:
-        flat = flat.observe(stats.raw, F.count(F.lit(1)).alias("n"))
+        flat = flat.observe(stats.raw, F.count(F.lit(1)).alias("n"), F.sum(F.length("review")).alias("chars"))
     d = deduplicate(flat)
     if stats is not None:
         d = d.observe(stats.dedup, F.count(F.lit(1)).alias("n"))

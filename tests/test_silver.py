@@ -101,7 +101,9 @@ def test_silver_schema_and_stats(spark):
     rows = out.collect()
     assert_schema(out, SILVER_SCHEMA)
     assert [f.name for f in out.schema.fields] == [f.name for f in SILVER_SCHEMA.fields]
-    assert stats.get() == {"n_raw": 4, "n_dedup": 3, "n_filtered": 2}
+    got = stats.get()
+    assert {k: got[k] for k in ("n_raw", "n_dedup", "n_filtered")} == {"n_raw": 4, "n_dedup": 3, "n_filtered": 2}
+    assert got["raw_text_chars"] == 3 * len("Good game") + len("I love it, it is great!")
     by = {r["recommendationid"]: r for r in rows}
     assert by["r3"]["sentiment_label"] == "pos" and -1 <= by["r3"]["sentiment_score"] <= 1
 
