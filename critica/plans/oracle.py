@@ -396,3 +396,15 @@ ORACLE["seen_anti_join"] = with_ctes(*KEPT, POP_SQL) + """
 select u.steamid, p.appid
 from (select distinct steamid from inter) u cross join (select appid from pop where r <= 20) p
 where not exists (select 1 from inter i where i.steamid = u.steamid and i.appid = p.appid)"""
+
+ORACLE["event_interactions"] = f"""
+with ev as (
+  select cast(user_id as varchar) as steamid, cast(json_extract(props, '$.k') as integer) as appid,
+         cast(ts as date) as dt, event_type = 'purchase' as voted_up, value as playtime_at_review
+  from events
+)
+select steamid as user_sk, appid, dt,
+       round(max(0.6 * (case when voted_up then 1.0 else 0.0 end)
+         + 0.4 * greatest(least(ln(1.0 + greatest(coalesce(playtime_at_review::double, 0.0), 0.0) / 60.0)
+                                / ln(1.0 + {fx.BOOST_CAP_HOURS!r}), 1.0), 0.0)), 6) as implicit_rating
+from ev group by steamid, appid, dt"""

@@ -362,3 +362,16 @@ def q_seen_anti_join(spark, sf_dir):
     users = inter.select("steamid").distinct()
     cands = users.select("steamid", F.explode(top.scalar()).alias("appid"))
     return cands.join(inter.select("steamid", "appid"), ["steamid", "appid"], "left_anti")
+
+
+@query("event_interactions")
+def q_event_interactions(spark, sf_dir):
+    """The daily interaction matrix over the events stream: the item id is parsed from the JSON ``props`` with an
+    explicit schema, a purchase counts as the up-vote and the event value as the time signal."""
+    from critica.operators.interactions import interaction_matrix
+    ev = read_table(spark, sf_dir, "events")
+    props = F.from_json("props", "struct<k:int>")
+    r = ev.select(F.col("user_id").cast("string").alias("steamid"), props["k"].alias("appid"),
+                  F.to_date("ts").alias("dt"), (F.col("event_type") == F.lit("purchase")).alias("voted_up"),
+                  F.col("value").alias("playtime_at_review"))
+    return interaction_matrix(r).withColumn("implicit_rating", r6("implicit_rating"))
