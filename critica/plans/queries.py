@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from critica.operators import gold, silver as sv
-from critica.sources.tables import read_table, reviews_view
+from critica.sources.tables import read_table, reviews_view, spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -68,7 +68,7 @@ def q_derived_features(spark, sf_dir):
 @query("lexicon_sentiment")
 def q_lexicon_sentiment(spark, sf_dir):
     from critica.functions.sentiment import add_sentiment
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     s = add_sentiment(docs, "text", keys=["doc_id"])
     return s.select("doc_id", r6("sentiment_score").alias("sentiment_score"), "sentiment_label")
 
