@@ -187,16 +187,19 @@ def pandas_scorer(make_scorer):
     """Wrap a Python scorer as an Arrow-batched *iterator* pandas UDF: ``make_scorer()`` runs once per task (a
     model or analyser is built once, not per batch), then scores every batch of texts. Plug it into
     :func:`add_sentiment` as ``scorer=`` when a model must replace the lexicon rules."""
+    from collections.abc import Iterator
+
     import pandas as pd
     from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("double")
     def score(batches):
         fn = make_scorer()
         for texts in batches:
             yield pd.Series([float(fn(t or "")) for t in texts], dtype="float64")
 
-    return score
+    # real (not string) annotations: they tell Spark this is the iterator-of-batches form
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return pandas_udf(score, "double")
 
 
 def add_sentiment(df: DataFrame, text_col: str = "review", scorer=None, keys: list[str] | None = None,
