@@ -341,15 +341,13 @@ def q_fact_incremental(spark, sf_dir):
 def q_partition_tiers(spark, sf_dir):
     """Age and storage tier of every silver day, relative to the newest day."""
     from critica.operators.retention import partition_ages
-    days = kept_reviews(spark, sf_dir).select("dt")
-    return partition_ages(days, days.select(F.max("dt")).scalar())
+    return partition_ages(kept_reviews(spark, sf_dir).select("dt"))
 
 
 @query("expired_partitions")
 def q_expired_partitions(spark, sf_dir):
     from critica.operators.retention import expired_partitions
-    days = kept_reviews(spark, sf_dir).select("dt")
-    return expired_partitions(days, days.select(F.max("dt")).scalar(), "silver")
+    return expired_partitions(kept_reviews(spark, sf_dir).select("dt"), None, "silver")
 
 
 @query("seen_anti_join")
