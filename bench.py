@@ -11,7 +11,9 @@ Stages (each a separate Spark job graph, timed end to end):
   unseen_topn  bounded ALS candidates -> seen anti join -> top-10 -> id map-back, written
   topn_popular exact popularity unseen top-10 for every user, written
 Before the timed stages the JVM is warmed up once (JIT, code generation) on the smallest driver tables when they
-exist, so the stage times are steady-state; that warm-up is reported separately as ``warmup_sec``.
+exist (process start-up, code generation); that warm-up is reported separately as ``warmup_sec``. The silver
+stage is timed on its first run over the target data (cold, in the total) and once more (``silver_steady_sec``,
+not in the total).
 Prints one JSON line.
 """
 
@@ -70,6 +72,11 @@ def main() -> None:
     timed("silver", lambda: sv.silver(reviews_view(spark, sf_dir), stats=stats)
           .write.mode("overwrite").parquet(silver_path))
     st = stats.get()
+    # the first large run in a JVM costs ~2-3x the steady state here (measured: same plan, same data, executor
+    # CPU 357 s vs 80 s); the headline keeps the cold run, the steady-state run is reported beside it
+    t0 = time.time()
+    sv.silver(reviews_view(spark, sf_dir)).write.mode("overwrite").parquet(f"{scratch}/silver_again")
+    silver_steady = round(time.time() - t0, 2)
     rows["silver_in"] = st["n_raw"]
     rows["silver_out"] = st["n_filtered"]
     silver = spark.read.parquet(silver_path)
@@ -135,6 +142,8 @@ def main() -> None:
            "rows": rows, "silver_rows_per_sec": round(st["n_raw"] / max(times["silver"], 1e-9), 1),
            "silver_text_mb": round(st["raw_text_chars"] / 1e6, 1),
            "silver_text_mb_per_sec": round(st["raw_text_chars"] / 1e6 / max(times["silver"], 1e-9), 2),
+           "silver_steady_sec": silver_steady,
+           "silver_steady_rows_per_sec": round(st["n_raw"] / max(silver_steady, 1e-9), 1),
            "cpus": int(cpus), "warmup_sec": warmup}
     print(json.dumps(out))
     spark.stop()
