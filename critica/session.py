@@ -43,7 +43,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.startswith("local")  # only called where a SparkContext exists
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -53,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a fresh temporary folder is created and registered; on a cluster an unset value is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's spark.checkpoint.dir is used
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -62,7 +65,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         conf = tempfile.mkdtemp(prefix="critica-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 

@@ -48,7 +48,11 @@ def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
     repartition of the (still narrow) rows fixes that for small inputs; large inputs, which come in many files,
     are left as they are (no extra shuffle at scale).
     """
-    slots = slots or df.sparkSession.sparkContext.defaultParallelism
+    if not slots:
+        try:
+            slots = df.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+            slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if len(df.inputFiles()) < slots:
         return df.repartition(slots)
     return df
