@@ -19,6 +19,11 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Whole-stage code generation emits some methods larger than the JVM's 8000-bytecode JIT limit (the silver
+    # stage with the sentiment windows); by default those run in the bytecode interpreter. Measured on sf0.1
+    # silver: 60 s -> 36 s cold, 20 s -> 9 s warm. Cluster launchers should pass the same executor option.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
