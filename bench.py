@@ -70,8 +70,8 @@ def main() -> None:
     timed("silver", lambda: sv.silver(reviews_view(spark, sf_dir), stats=stats)
           .write.mode("overwrite").parquet(silver_path))
     st = stats.get()
-    # the first large run in a JVM costs ~2-3x the steady state here (measured: same plan, same data, executor
-    # CPU 357 s vs 80 s); the headline keeps the cold run, the steady-state run is reported beside it
+    # a second run of the same stage, reported beside the first (not in the total), shows run-to-run variance;
+    # before large generated methods were JIT-compiled (session defaults) the first run cost 2-4x the second
     t0 = time.time()
     sv.silver(reviews_view(spark, sf_dir)).write.mode("overwrite").parquet(f"{scratch}/silver_again")
     silver_steady = round(time.time() - t0, 2)
