@@ -27,8 +27,19 @@ DEFAULT_CONF = {
 }
 
 
+def local_heap(fraction: float = 0.6, cap_gb: int = 16) -> str:
+    """Driver heap for a local session: a share of physical memory, capped (7 GB machine -> 4g)."""
+    try:
+        with open("/proc/meminfo") as f:
+            kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal:"))
+        gb = max(1, min(cap_gb, int(kb / 1024 / 1024 * fraction)))
+    except (OSError, StopIteration, ValueError):
+        gb = 4
+    return f"{gb}g"
+
+
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "critica",
-              extra: dict[str, str] | None = None, driver_memory: str = "16g") -> SparkSession:
+              extra: dict[str, str] | None = None, driver_memory: str | None = None) -> SparkSession:
     """A session for tests and local runs (on a cluster the launcher builds the session).
 
     In local mode the driver JVM is the only executor, so its heap is the execution memory for sorts and
@@ -37,7 +48,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     if master.startswith("local"):
-        conf["spark.driver.memory"] = driver_memory
+        conf["spark.driver.memory"] = driver_memory or local_heap()
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():

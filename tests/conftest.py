@@ -9,11 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from critica.session import get_spark
+    from critica.session import get_spark, local_heap
 
     ckpt = tempfile.mkdtemp(prefix="critica-test-ckpt-")
     s = get_spark(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": ckpt},
-                  driver_memory="8g")
+                  driver_memory=local_heap(cap_gb=8))
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
     s.stop()
