@@ -408,3 +408,7 @@ select steamid as user_sk, appid, dt,
          + 0.4 * greatest(least(ln(1.0 + greatest(coalesce(playtime_at_review::double, 0.0), 0.0) / 60.0)
                                 / ln(1.0 + {fx.BOOST_CAP_HOURS!r}), 1.0), 0.0)), 6) as implicit_rating
 from ev group by steamid, appid, dt"""
+
+ORACLE["silver_stage_counts"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL) + """
+select (select count(*) from reviews_v) as n_raw, (select count(*) from dedup) as n_dedup,
+       (select count(*) from filt) as n_filtered, (select sum(length(review)) from reviews_v)::bigint as raw_text_chars"""

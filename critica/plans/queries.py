@@ -373,3 +373,14 @@ def q_event_interactions(spark, sf_dir):
                   F.to_date("ts").alias("dt"), (F.col("event_type") == F.lit("purchase")).alias("voted_up"),
                   F.col("value").alias("playtime_at_review"))
     return interaction_matrix(r).withColumn("implicit_rating", r6("implicit_rating"))
+
+
+@query("silver_stage_counts")
+def q_silver_stage_counts(spark, sf_dir):
+    """The silver job's stage counts, observed while it runs (one pass, nothing cached): rows in, after
+    dedup, after the junk filter, and characters of review text read."""
+    stats = sv.SilverStats()
+    sv.silver(reviews_view(spark, sf_dir), stats=stats).write.format("noop").mode("overwrite").save()
+    st = stats.get()
+    return spark.createDataFrame([(st["n_raw"], st["n_dedup"], st["n_filtered"], st["raw_text_chars"])],
+                                 "n_raw bigint, n_dedup bigint, n_filtered bigint, raw_text_chars bigint")
