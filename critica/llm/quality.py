@@ -36,8 +36,8 @@ RATIOS = {
     "mean_word": ("word_chars", "n_words", 500, True),
     "symbols": ("n_symbols", "n_words", 60, False),
     "bangs": ("n_bangs", "n_words", 60, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 100, False),
-    "repeats": ("n_repeat_words", "n_words", 60, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 200, False),
+    "repeats": ("n_repeat_words", "n_words", 120, False),
 }
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
