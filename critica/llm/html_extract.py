@@ -27,7 +27,7 @@ from critica.llm.common import read
 TRAIN_PAGES = 160
 TRAIN_CHARS = 200_000  # longer pages are left out of the training sample only
 TRAIN_BLOCKS = 96  # training sequences are cut into pieces of so many blocks
-EPOCHS = 12
+EPOCHS = 24
 PATH_SLOTS, WORD_SLOTS, HIDDEN = 64, 32, 16
 BATCH_PAGES = 64
 
@@ -142,7 +142,7 @@ def vectors(blocks):
         x[i, PATH_SLOTS:PATH_SLOTS + WORD_SLOTS] = slots / len(words)
         main, aside = hints(path)
         x[i, -9:] = (np.log1p(len(text)) / 8, np.log1p(len(words)) / 6, links, i / n, (n - 1 - i) / n,
-                     min(text.count(".") + text.count(","), 20) / 20, min(len(path), 12) / 12, main > 0, min(aside, 2) / 2)
+                     min(text.count(".") + text.count(","), 20) / 20, min(len(path), 12) / 12, 2.0 * (main > 0), min(aside, 2))
     return x
 
 
@@ -240,7 +240,8 @@ def weak_labels(blocks) -> list[int]:
 
 
 def augmented(blocks, labels, rng):
-    """The page with some foreign blocks inserted (comments, notices, forms, sidebars), labelled 0."""
+    """The page with some foreign blocks inserted (comments, notices, forms, sidebars), labelled 0, and every second
+    page with its telling names exchanged for others of their kind."""
     kinds = (("section", "comments"), ("div", "comment"), ("aside",), ("div", "sidebar"), ("form",), ("div", "cookie", "notice"),
              ("div", "related"), ("header",), ("div", "ad"), ("ul", "menu"))
     pairs = list(zip(blocks, labels))
@@ -252,6 +253,9 @@ def augmented(blocks, labels, rng):
         extra = [((texts[int(rng.integers(len(texts)))], (*base, *kind, "p"), float(rng.random() < 0.2)), 0)
                  for _ in range(int(rng.integers(1, 5)))]
         pairs[at:at] = extra
+    if rng.random() < 0.5:  # the same structure under other names
+        names = {t: str(rng.choice(group)) for group in (sorted(MAIN), sorted(ASIDE)) for t in group}
+        pairs = [((text, tuple(names.get(t, t) for t in path), links), y) for (text, path, links), y in pairs]
     return [b for b, _ in pairs], [y for _, y in pairs]
 
 
@@ -274,7 +278,7 @@ def train(pages: list[str], seed: int = 3):
         for blocks in parsed:
             b, y = augmented(blocks, weak_labels(blocks), rng)
             x = vectors(b)
-            if rng.random() < 0.15:  # hide the hints of a whole page
+            if rng.random() < 0.1:  # hide the hints of a whole page
                 x[:, -2:] = 0
             y = np.array(y, np.float32)
             pieces += [(x[a:a + TRAIN_BLOCKS], y[a:a + TRAIN_BLOCKS]) for a in range(0, len(x), TRAIN_BLOCKS)]

@@ -1,0 +1,94 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+
+from critica.llm import lm_score as M
+from tests.llm.data import empty, frame, prose, raw, rows
+
+PAIRS = "the of and to in is that it was for on are with as be at by this from".split()
+
+
+def corpus():
+    """Two 'languages' with their own words, so that context tells more than counts."""
+    out = []
+    for i in range(160):
+        own = prose(7 + i % 2, 40).split()
+        body = [own[(i * 31 + k * k) % 40] if k % 3 else PAIRS[(k + i % 2 * 9) % 19] for k in range(120)]
+        out.append((i, " ".join(body + prose(900 + i, 6).split()), "en", "s", 0, *["x"] * 6))
+    return out
+
+
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1
+
+
+def test_base_scores_and_counts(spark):
+    data = rows() + corpus()
+    c = Counter()
+    for r in data:
+        if not held(r[0]):
+            c.update([*raw(r[1]).lower().split(), M.END])
+    total, distinct = sum(c.values()), len(c)
+    want = []
+    for r in data:
+        tokens = [*raw(r[1]).lower().split(), M.END]
+        base = sum(math.log10((c[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)
+        want.append((repr(r[0]), held(r[0]), len(tokens), sum(c[t] > 0 for t in tokens), total, round(base, 5)))
+    got = M.lm_scores(frame(spark, data)).collect()
+    assert sorted((repr(r.doc_id), *tuple(r)[1:5], round(r.base_score, 5)) for r in got) == sorted(want)
+    assert all(r.score < 0 for r in got)
+    out = [r for r in got if r.held_out and r.n_tokens > 100 and r.doc_id >= 20]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_rare_words_by_join_give_the_same(spark, monkeypatch):
+    data = rows()[:9] + corpus()[:40]
+    a = {(r.doc_id, round(r.base_score, 6), r.n_known) for r in M.lm_scores(frame(spark, data)).collect()}
+    monkeypatch.setattr(M, "LOOKUP_WORDS", 260)  # most words now go through the join
+    assert {(r.doc_id, round(r.base_score, 6), r.n_known) for r in M.lm_scores(frame(spark, data)).collect()} == a
+
+
+def tiny():
+    v = M.Vocabulary([b"a", b"b", M.END], [b"ing", b"ed"], [(b"a", 9), (b"b", 4), (M.END, 3)],
+                     {0: (9, 1), 1: (4, 1), 2: (3, 1), 3: (6, 2), 4: (2, 1), 5: (5, 5)}, 29, 11)
+    return v, M.start_parameters(v)
+
+
+def test_symbol_probabilities_are_normalised():
+    v, p = tiny()
+    rng = np.random.default_rng(0)
+    p = {k: (x + rng.standard_normal(x.shape)).astype(np.float32) for k, x in p.items()}
+    s = M.Scorer(p)
+    for u in range(v.size):
+        for w in range(v.size):
+            assert abs(sum(10 ** s.log10(np.array([u]), np.array([w]), np.arange(v.size))) - 1) < 1e-9
+    slow = p["c1"][1] @ p["r"].T + p["c2"][2] @ p["r"].T + p["b"]
+    assert np.allclose(s.log10(2, 1, np.arange(v.size)), (slow - np.log(np.exp(slow).sum())) / np.log(10), atol=1e-4)
+
+
+def test_shares_within_a_symbol_are_normalised():
+    v, _ = tiny()
+    counts = {3: [4, 2], 4: [2], 5: [1] * 5}
+    for s, cs in counts.items():
+        share = [(c + 0.5) / 10 ** v.inner()[s] for c in [*cs, 0]]  # one slot for unseen words
+        assert abs(sum(share) - 1) < 1e-9
+
+
+def test_noise_contrastive_training_learns_the_context():
+    v, p = tiny()
+    shares = v.weights() / v.weights().sum()
+    t = M.NceTrainer(p, shares, 1)
+    rng = np.random.default_rng(0)
+    run = []
+    for _ in range(400):  # after 0 comes 3, after 1 comes 4
+        for k in rng.integers(0, 2, 20):
+            run += [int(k), 3 + int(k)]
+    M.learn_marked(t, [-3, -3, *run, 2] * 5, np)
+    s = M.Scorer(t.p)
+    assert s.log10(3, 0, 3) > np.log10(0.7) and s.log10(3, 1, 4) > np.log10(0.7)
+
+
+def test_empty_table(spark):
+    assert M.lm_scores(empty(spark)).count() == 0

@@ -1,0 +1,101 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from critica.llm import packing, token_count
+from tests.llm.data import empty, frame, raw, rows
+
+P = pytest.importorskip("public_tokenizers")
+
+
+def library(name):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(P.path(name))
+
+
+def test_token_counts_equal_the_library(spark):
+    tk = library("word_bpe_49k.json")
+    got = token_count.count_tokens(frame(spark), P.path("word_bpe_49k.json"), tier1_size=50).collect()
+    want = [(r[0], len(raw(r[1])), len(tk.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows()]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_frequent_chunks_cover_all_documents(spark):
+    top = token_count.frequent_chunks(frame(spark), size=5)
+    assert len(top) == 5 and b"" not in top
+
+
+def test_token_counts_empty_table(spark):
+    assert token_count.count_tokens(empty(spark), P.path("word_bpe_49k.json")).count() == 0
+
+
+def test_encoder_equals_the_library():
+    tk = library("byte_bpe_50k.json")
+    encode = packing.load_encoder(P.path("byte_bpe_50k.json"))
+    texts = [r[1] or "" for r in rows()] + ["  lead", "trail  ", "a \n\n  b\t\tc ", "it's 123 4,5 don't'll", "　x 　 y", "a<|endoftext|>b"]
+    for t in texts:
+        assert np.frombuffer(encode(t.encode()), "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids
+
+
+def test_packing_keeps_every_token_once(spark):
+    limit = 64
+    tk = library("byte_bpe_50k.json")
+    out = packing.best_fit_packing(frame(spark), P.path("byte_bpe_50k.json"), limit=limit).collect()
+    docs: dict = {}
+    for r in out:
+        docs.setdefault(r.rid, []).append(r)
+    assert len(docs) == len(rows())
+    want = []
+    for doc_id, text, *_ in rows():
+        ids = tk.encode(text or "", add_special_tokens=False).ids + [2]
+        first = len(ids) % limit or limit
+        cuts = [0, *range(first, len(ids) + 1, limit)]
+        want.append((doc_id, tuple((a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for a, b in zip(cuts, cuts[1:]))))
+    got = []
+    for pieces in docs.values():
+        pieces.sort(key=lambda r: r.piece)
+        assert [r.piece for r in pieces] == list(range(len(pieces)))
+        got.append((pieces[0].doc_id, tuple((r.start, r.length, r.ids_crc32) for r in pieces)))
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    bins: dict = {}
+    for r in out:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for placed in bins.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= limit
+    total = sum(r.length for r in out)
+    assert len(bins) <= -(-total // limit) + 8
+
+
+def test_sum_of_squares_rule_by_brute_force():
+    rng = np.random.default_rng(0)
+    bins, counts, limit = packing.SumOfSquares(50), {}, 50
+    free: dict = {}
+    for length in sorted(rng.integers(1, 51, 400).tolist(), reverse=True):
+        number, offset = bins.place(length)
+        gap = limit - offset
+        options = {g for g in counts if counts[g] and g >= length and g < limit}
+        if options:
+            def cost(g):
+                c = dict(counts)
+                c[g] -= 1
+                if g - length:
+                    c[g - length] = c.get(g - length, 0) + 1
+                return sum(v * v for v in c.values())
+            assert (cost(gap), gap) == min((cost(g), g) for g in options)
+            assert free[number] == gap
+            counts[gap] -= 1
+        else:
+            assert offset == 0
+        free[number] = gap - length
+        if gap - length:
+            counts[gap - length] = counts.get(gap - length, 0) + 1
+
+
+def test_packing_empty_table(spark):
+    assert packing.best_fit_packing(empty(spark), P.path("byte_bpe_50k.json")).count() == 0
