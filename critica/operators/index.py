@@ -34,16 +34,15 @@ def row_index(df: DataFrame, order: Sequence, groups: Sequence[str] = (), name:
     """Add ``name`` = start-based position of each row in ``order`` (restarting per ``groups``).
 
     ``order`` must be total within a group (add tie-breakers), otherwise positions among ties are arbitrary.
-    Rows with a NULL group key are dropped.
+    Rows with a NULL group key form a group of their own. The frame is written once to the checkpoint folder: pass
+    narrow rows (keys and order columns) and join wide columns back by key.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(groups)
-    for g in groups:
-        df = df.where(F.col(g).isNotNull())
     sort = [F.col(g).asc() for g in groups] + [_col(c) for c in order]
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+    ranges = [num_partitions] if num_partitions else []  # else adaptive execution sizes them
+    ranged = (df.repartitionByRange(*ranges, *sort).sortWithinPartitions(*sort)
               .withColumn("_mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
@@ -56,7 +55,11 @@ def row_index(df: DataFrame, order: Sequence, groups: Sequence[str] = (), name:
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     if not groups:
         offsets = F.broadcast(offsets)  # one row per range partition
-    out = ranged.withColumn("_pid", pid).join(offsets, ["_pid", *groups])
+    offsets = offsets.select(F.col("_pid").alias("_opid"), *[F.col(g).alias(f"_o_{g}") for g in groups], "_first", "_off")
+    same = F.col("_pid") == F.col("_opid")
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
+    out = ranged.withColumn("_pid", pid).join(offsets, same).drop("_opid", *[f"_o_{g}" for g in groups])
     return out.withColumn(name, F.col("_off") + local - F.col("_first") + F.lit(start)) \
               .drop("_mid", "_pid", "_first", "_off")
 

@@ -15,7 +15,11 @@ ORACLE: dict[str, str] = {}
 
 
 def _order_tail() -> str:
-    cols = [c for c in DEDUP_TIE_BREAKERS]
+    return ", ".join(f"{c} asc nulls last" for c in (*DEDUP_TIE_BREAKERS, "md5(review)"))
+
+
+def _page_order() -> str:
+    cols = dict.fromkeys(["timestamp_updated", "steamid", *(c for c in DEDUP_TIE_BREAKERS if c != "appid"), "md5(review)"])
     return ", ".join(f"{c} asc nulls last" for c in cols)
 
 
@@ -34,86 +38,78 @@ filt as (
     and length(regexp_replace(coalesce(review, ''), '[\s\p{Z}]+', '', 'g')) > 0
 )"""
 
+# every review shows the text of one document: score each document once
 SENT_SQL = f"""
-sent as ({sentiment_sql('filt', 'recommendationid', 'review')})"""
+sent as ({sentiment_sql('(select doc_id, text from documents where doc_id in (select doc_id from filt))', 'doc_id', 'text')})"""
 
 BUCKETS_SQL = "case " + " ".join(
     f"when playtime_at_review / 60.0 < {b!r} then '{lbl}'" for b, lbl in fx.PLAYTIME_BUCKETS
 ) + f" else '{fx.PLAYTIME_BUCKET_TOP}' end"
 
-SILVER_SQL = f"""
-silver as (
-  select f.* exclude (dt), length(f.review)::bigint as review_length,
-         f.playtime_at_review / 60.0 as playtime_hours,
+FEATURES_SQL = f"""length(f.review)::bigint as review_length, f.playtime_at_review / 60.0 as playtime_hours,
          {BUCKETS_SQL} as playtime_bucket,
-         f.votes_up::double / (f.votes_up::double + f.votes_funny::double + 1.0) as helpfulness_ratio,
-         s.sentiment_score,
-         case when s.sentiment_score >= {fx.POS_THRESHOLD!r} then 'pos'
-              when s.sentiment_score <= {fx.NEG_THRESHOLD!r} then 'neg' else 'neu' end as sentiment_label,
-         f.dt
-  from filt f join sent s using (recommendationid)
-)"""
+         f.votes_up::double / (f.votes_up::double + f.votes_funny::double + 1.0) as helpfulness_ratio"""
 
-STG_SQL = """
-stg as (
-  select recommendationid as review_id, appid::bigint as appid, steamid,
-         coalesce(playtime_forever, 0) as playtime_forever, coalesce(playtime_at_review, 0) as playtime_at_review,
-         coalesce(num_reviews, 0) as num_reviews, language, review, timestamp_created, timestamp_updated,
-         voted_up, coalesce(votes_up, 0) as votes_up, coalesce(votes_funny, 0) as votes_funny,
-         weighted_vote_score, coalesce(comment_count, 0) as comment_count, steam_purchase, received_for_free,
-         written_during_early_access, sentiment_score, sentiment_label, coalesce(review_length, 0) as review_length,
-         playtime_hours, playtime_bucket, helpfulness_ratio, dt
-  from silver where recommendationid is not null and appid is not null
-)"""
+LABEL_SQL = (f"case when s.sentiment_score >= {fx.POS_THRESHOLD!r} then 'pos' "
+             f"when s.sentiment_score <= {fx.NEG_THRESHOLD!r} then 'neg' else 'neu' end")
+
+# kept reviews with their features; ``scored`` adds the sentiment of their document
+FEAT_SQL = f"""
+feat as (select f.*, {FEATURES_SQL} from filt f)"""
+
+SCORED_SQL = f"""
+scored as (select f.*, s.sentiment_score, {LABEL_SQL} as sentiment_label from feat f join sent s using (doc_id))"""
 
 
 def sk(expr: str) -> str:
     """md5 surrogate key, same value as critica.functions.keys.surrogate_key(..., 'md5')."""
-    return f"('0x' || substr(md5(cast({expr} as varchar)), 1, 15))::bigint"
+    h = f"('0x' || substr(md5(cast({expr} as varchar)), 1, 16))::hugeint"
+    return f"(case when {h} >= 9223372036854775808 then {h} - 18446744073709551616 else {h} end)::bigint"
 
 
+# The star schema, stated from the kept reviews (``feat`` / ``scored``) directly
 GAMES_SQL = f"""
 games as (
-  select {sk('appid')} as game_sk, appid, cast(null as varchar) as name, total_reviews, total_positive,
-         case when total_reviews = 0 then null else total_positive::double / total_reviews::double end
-           as positive_rate,
-         cast(null as varchar) as review_score_desc, first_seen_dt, last_seen_dt
-  from (select appid, count(*) as total_reviews, count(*) filter (where voted_up) as total_positive,
-               min(dt) as first_seen_dt, max(dt) as last_seen_dt
-        from stg group by appid)
+  select {sk('appid')} as game_sk, appid::bigint as appid, cast(null as varchar) as name, n as total_reviews,
+         up as total_positive, up::double / n::double as positive_rate, cast(null as varchar) as review_score_desc,
+         lo as first_seen_dt, hi as last_seen_dt
+  from (select appid, count(*) as n, sum(case when voted_up then 1 else 0 end)::bigint as up, min(dt) as lo, max(dt) as hi
+        from filt where recommendationid is not null and appid is not null group by appid)
 )"""
 
 USERS_SQL = f"""
 users as (
-  select {sk('steamid')} as user_sk, steamid, num_reviews, first_review_ts
-  from (select steamid, max(num_reviews) as num_reviews,
-               min(make_timestamp(timestamp_created * 1000000)) as first_review_ts
-        from stg where steamid is not null group by steamid)
+  select {sk('steamid')} as user_sk, steamid, max(num_reviews) as num_reviews,
+         min(make_timestamp(timestamp_created * 1000000)) as first_review_ts
+  from filt where recommendationid is not null and appid is not null and steamid is not null group by steamid
 )"""
 
 FACT_SQL = f"""
 fact as (
-  select review_id, {sk('appid')} as game_sk,
-         case when steamid is not null then {sk('steamid')} end as user_sk,
-         dt, voted_up, playtime_at_review as playtime_at_review_min, votes_up, weighted_vote_score,
-         sentiment_score, sentiment_label, review_length, make_timestamp(timestamp_created * 1000000) as created_ts
-  from stg
+  select recommendationid as review_id, {sk('appid')} as game_sk,
+         case when steamid is not null then {sk('steamid')} end as user_sk, dt, voted_up,
+         coalesce(playtime_at_review, 0) as playtime_at_review_min, coalesce(votes_up, 0) as votes_up,
+         weighted_vote_score, sentiment_score, sentiment_label, coalesce(review_length, 0) as review_length,
+         make_timestamp(timestamp_created * 1000000) as created_ts
+  from scored where recommendationid is not null and appid is not null
 )"""
 
-MART_SQL = """
+MART_SQL = f"""
 mart as (
-  select f.game_sk, g.appid, g.name, f.dt,
-         count(*) as total_reviews,
-         count(*) filter (where f.voted_up) as positive_reviews,
-         count(*) - count(*) filter (where f.voted_up) as negative_reviews,
-         case when count(*) = 0 then null
-              else (count(*) filter (where f.voted_up))::double / count(*)::double end as positive_rate,
-         avg(f.sentiment_score) as avg_sentiment_score,
-         count(*) filter (where f.sentiment_label = 'pos') as sentiment_pos_count,
-         count(*) filter (where f.sentiment_label = 'neu') as sentiment_neu_count,
-         count(*) filter (where f.sentiment_label = 'neg') as sentiment_neg_count
-  from fact f join games g on f.game_sk = g.game_sk
-  group by f.game_sk, g.appid, g.name, f.dt
+  select {sk('appid')} as game_sk, appid::bigint as appid, cast(null as varchar) as name, dt, n as total_reviews,
+         up as positive_reviews, n - up as negative_reviews, up::double / n::double as positive_rate,
+         mean as avg_sentiment_score, pos as sentiment_pos_count, neu as sentiment_neu_count, neg as sentiment_neg_count
+  from (select appid, dt, count(*) as n, count(*) filter (where voted_up) as up, avg(sentiment_score) as mean,
+               count(*) filter (where sentiment_label = 'pos') as pos, count(*) filter (where sentiment_label = 'neu') as neu,
+               count(*) filter (where sentiment_label = 'neg') as neg
+        from scored where recommendationid is not null and appid is not null group by appid, dt)
+)"""
+
+# staging as the data-quality tests see it
+STG_SQL = """
+stg as (
+  select recommendationid as review_id, appid::bigint as appid, * exclude (recommendationid, appid) from scored
+  where recommendationid is not null and appid is not null
 )"""
 
 
@@ -121,8 +117,9 @@ def with_ctes(*ctes: str) -> str:
     return "with " + ",\n".join(c.strip() for c in ctes)
 
 
-BASE = [REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, SENT_SQL, SILVER_SQL]
-GOLD = BASE + [STG_SQL, GAMES_SQL, USERS_SQL, FACT_SQL]
+PLAIN = [REVIEWS_SQL, DEDUP_SQL, FILTER_SQL]
+FEAT = [*PLAIN, FEAT_SQL]
+SCORED = [*FEAT, SENT_SQL, SCORED_SQL]
 
 ORACLE["dedup_latest"] = with_ctes(REVIEWS_SQL, DEDUP_SQL) + """
 select recommendationid, dt, appid, steamid, timestamp_updated, votes_up, playtime_at_review, language from dedup"""
@@ -131,9 +128,9 @@ ORACLE["junk_filter"] = r"""
 select doc_id, lang, source from documents
 where lang = 'en' and length(regexp_replace(coalesce(text, ''), '[\s\p{Z}]+', '', 'g')) > 0"""
 
-ORACLE["derived_features"] = with_ctes(*BASE) + """
+ORACLE["derived_features"] = with_ctes(*FEAT) + """
 select recommendationid, dt, review_length, round(playtime_hours, 6) as playtime_hours, playtime_bucket,
-       round(helpfulness_ratio, 6) as helpfulness_ratio from silver"""
+       round(helpfulness_ratio, 6) as helpfulness_ratio from feat"""
 
 ORACLE["lexicon_sentiment"] = f"""
 with s as ({sentiment_sql('documents', 'doc_id', 'text')})
@@ -142,26 +139,28 @@ select doc_id, round(sentiment_score, 6) as sentiment_score,
             when sentiment_score <= {fx.NEG_THRESHOLD!r} then 'neg' else 'neu' end as sentiment_label
 from s"""
 
-ORACLE["silver_reviews"] = with_ctes(*BASE) + """
+ORACLE["silver_reviews"] = with_ctes(*SCORED) + """
 select recommendationid, steamid, appid, dt, voted_up, votes_up, votes_funny, playtime_at_review,
        timestamp_updated, review_length, round(sentiment_score, 6) as sentiment_score, sentiment_label
-from silver"""
+from scored"""
 
-ORACLE["stg_reviews"] = with_ctes(*BASE, STG_SQL) + """
-select review_id, appid, steamid, dt, playtime_forever, num_reviews, comment_count, weighted_vote_score,
-       playtime_bucket from stg"""
+ORACLE["stg_reviews"] = with_ctes(*FEAT) + """
+select recommendationid as review_id, appid::bigint as appid, steamid, dt, coalesce(playtime_forever, 0) as playtime_forever,
+       coalesce(num_reviews, 0) as num_reviews, coalesce(comment_count, 0) as comment_count, weighted_vote_score,
+       playtime_bucket
+from feat where recommendationid is not null and appid is not null"""
 
-ORACLE["dim_games"] = with_ctes(*BASE, STG_SQL, GAMES_SQL) + """
+ORACLE["dim_games"] = with_ctes(*PLAIN, GAMES_SQL) + """
 select game_sk, appid, name, total_reviews, total_positive, round(positive_rate, 6) as positive_rate,
        review_score_desc, first_seen_dt, last_seen_dt from games"""
 
-ORACLE["dim_users"] = with_ctes(*BASE, STG_SQL, USERS_SQL) + """
+ORACLE["dim_users"] = with_ctes(*PLAIN, USERS_SQL) + """
 select * from users"""
 
-ORACLE["fact_reviews"] = with_ctes(*BASE, STG_SQL, FACT_SQL) + """
+ORACLE["fact_reviews"] = with_ctes(*SCORED, FACT_SQL) + """
 select * replace (round(sentiment_score, 6) as sentiment_score) from fact"""
 
-ORACLE["sentiment_trends"] = with_ctes(*GOLD, MART_SQL) + """
+ORACLE["sentiment_trends"] = with_ctes(*SCORED, MART_SQL) + """
 select * replace (round(positive_rate, 6) as positive_rate, round(avg_sentiment_score, 6) as avg_sentiment_score)
 from mart"""
 
@@ -303,7 +302,7 @@ def _dq_sql() -> str:
             q = f"select count(*) from {t} where {c} is not null and ({c} < {p['lo']!r} or {c} > {p['hi']!r})"
         parts.append(f"select '{ch.name}' as test, '{ch.kind}' as kind, '{ch.table}' as \"table\", "
                      f"'{c}' as \"column\", ({q})::bigint as failures")
-    return with_ctes(*GOLD, MART_SQL) + "\n" + "\nunion all\n".join(parts)
+    return with_ctes(*SCORED, STG_SQL, GAMES_SQL, USERS_SQL, FACT_SQL, MART_SQL) + "\n" + "\nunion all\n".join(parts)
 
 
 ORACLE["dq_summary"] = _dq_sql()
@@ -349,11 +348,10 @@ s as (select dt, appid, arg_max(cursor, page_num) as next_cursor, max(page_num)
 select c.dt, c.appid, coalesce(s.next_cursor, '*') as next_cursor, coalesce(s.next_page_num, 0)::bigint as next_page_num
 from (select distinct dt, appid from audit) c left join s on s.dt = c.dt and s.appid = c.appid"""
 
-ORACLE["app_summary"] = with_ctes(REVIEWS_SQL) + """,
+ORACLE["app_summary"] = with_ctes(REVIEWS_SQL) + f""",
 j as (
   select appid, dt, voted_up,
-         (row_number() over (partition by dt, appid order by recommendationid asc nulls last,
-                             timestamp_updated asc nulls last, steamid asc nulls last) - 1) // 100 as page_num
+         (row_number() over (partition by dt, appid order by recommendationid asc nulls last, {_page_order()}) - 1) // 100 as page_num
   from reviews_v where dt is not null and appid is not null
 ),
 pg as (
@@ -377,9 +375,31 @@ select steamid as user_sk, appid, round(max(implicit_rating), 6) as implicit_rat
        date_trunc('month', dt)::date as dt
 from rated group by steamid, appid, date_trunc('month', dt)"""
 
-ORACLE["fact_incremental"] = with_ctes(*BASE, STG_SQL, FACT_SQL) + """
+ORACLE["fact_incremental"] = with_ctes(*SCORED, FACT_SQL) + """
 select * replace (round(sentiment_score, 6) as sentiment_score) from fact
-where dt >= (select max(dt) from stg where dt < (select max(dt) from stg) - interval 90 day)"""
+where dt >= (select max(dt) from fact where dt < (select max(dt) from fact) - interval 90 day)"""
+
+ORACLE["day_replace_empty"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, RATED_SQL) + """,
+m as (select steamid as user_sk, appid, max(implicit_rating) as r, date_trunc('month', dt)::date as dt
+      from rated group by all),
+a as (select min(dt) as first from m)
+select user_sk, appid, round(case when dt = first + interval 1 month then r / 2 else r end, 6) as implicit_rating, dt
+from m, a where dt > first"""
+
+_YEARLY = """
+yv as (select * replace (date_trunc('year', dt)::date as dt, (appid % 8)::integer as appid) from reviews_v
+       where dt is not null and appid is not null),
+ydedup as (
+  select * exclude (rn) from (
+    select *, row_number() over (partition by dt, recommendationid
+                                 order by timestamp_updated desc nulls last, {tail}) as rn from yv) where rn = 1),
+filt as (
+  select * from ydedup
+  where language = 'english' and length(regexp_replace(coalesce(review, ''), '[\\s\\p{{Z}}]+', '', 'g')) > 0)"""
+
+ORACLE["bronze_to_silver"] = ORACLE["incremental_silver"] = with_ctes(
+    REVIEWS_SQL, _YEARLY.format(tail=_order_tail()), FEAT_SQL) + """
+select recommendationid, dt, appid, votes_up, timestamp_updated, review_length, playtime_bucket from feat"""
 
 _TIERS = """
 days as (select distinct dt from filt where dt is not null),
@@ -392,11 +412,19 @@ from aged"""
 ORACLE["expired_partitions"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL, _TIERS) + """
 select dt, age_days, 'expired' as tier from aged where age_days > 180"""
 
-ORACLE["seen_anti_join"] = with_ctes(*KEPT, POP_SQL) + """
-select u.steamid, p.appid
-from (select distinct steamid from inter) u cross join (select appid from pop where r <= 20) p
+ORACLE["seen_anti_join"] = with_ctes(*KEPT, POP_SQL) + """,
+need as (select steamid, count(*) + 10 as need from inter group by steamid)
+select u.steamid, p.appid from need u join pop p on p.r <= u.need
 where not exists (select 1 from inter i where i.steamid = u.steamid and i.appid = p.appid)"""
 
+ORACLE["publish_fixed_scores"] = with_ctes(*KEPT, POP_SQL, TOPN_SQL, KUSERS_SQL, RECS_SQL) + """
+select user_sk, ranked_appid, rank, score, generated_at from recs"""
+
+ORACLE["als_shape"] = with_ctes(*KEPT, KUSERS_SQL) + """
+select user_sk, least(10, (select count(distinct appid) from inter) - n)::bigint as n_rows, 0::bigint as n_breaks
+from (select steamid, count(*) as n from inter group by steamid) join kusers using (steamid)
+where (select count(distinct appid) from inter) > n"""
+
 ORACLE["event_interactions"] = f"""
 with ev as (
   select cast(user_id as varchar) as steamid, cast(json_extract(props, '$.k') as integer) as appid,

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from critica.operators import gold, silver as sv
-from critica.sources.tables import read_table, reviews_view, spread
+from critica.session import materialized
+from critica.sources.tables import read_table, reviews_view
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -41,12 +42,17 @@ def stg_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.stg_reviews(silver_frame(spark, sf_dir))
 
 
+def stg_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging without the text, written once for queries that read it several times."""
+    return materialized(stg_frame(spark, sf_dir).drop("review"), "stg")
+
+
 # ---------------------------------------------------------------------------------------------------------
 # silver
 # ---------------------------------------------------------------------------------------------------------
 @query("dedup_latest")
 def q_dedup_latest(spark, sf_dir):
-    d = sv.deduplicate(reviews_view(spark, sf_dir).drop("review"))
+    d = sv.deduplicate(reviews_view(spark, sf_dir, text=False))
     return d.select("recommendationid", "dt", "appid", "steamid", "timestamp_updated", "votes_up",
                     "playtime_at_review", "language")
 
@@ -68,7 +74,7 @@ def q_derived_features(spark, sf_dir):
 @query("lexicon_sentiment")
 def q_lexicon_sentiment(spark, sf_dir):
     from critica.functions.sentiment import add_sentiment
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
     s = add_sentiment(docs, "text", keys=["doc_id"])
     return s.select("doc_id", r6("sentiment_score").alias("sentiment_score"), "sentiment_label")
 
@@ -110,7 +116,7 @@ def q_fact_reviews(spark, sf_dir):
 
 @query("sentiment_trends")
 def q_sentiment_trends(spark, sf_dir):
-    g = gold.build_gold(stg_frame(spark, sf_dir))
+    g = gold.build_gold(stg_once(spark, sf_dir))
     m = g["mart_game_sentiment_trends"]
     return m.withColumn("positive_rate", r6("positive_rate")) \
             .withColumn("avg_sentiment_score", r6("avg_sentiment_score"))
@@ -120,14 +126,25 @@ def q_sentiment_trends(spark, sf_dir):
 # interactions, ids, split, recommendations, metrics
 # ---------------------------------------------------------------------------------------------------------
 def kept_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver rows without the text features: the rating queries need only the kept (deduped, filtered) rows."""
-    return sv.filter_junk(sv.deduplicate(reviews_view(spark, sf_dir)))
+    """The kept (deduped, filtered) rows without their text: the rating queries need only the flag that a text is
+    there and its md5 as the last tie-breaker."""
+    return sv.filter_junk(sv.deduplicate(reviews_view(spark, sf_dir, text=False)))
 
 
 def users_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_users over the kept rows (same rows as staging; only the columns the dimension needs)."""
-    k = kept_reviews(spark, sf_dir).where(F.col("recommendationid").isNotNull() & F.col("appid").isNotNull())
-    return gold.dim_users(k)
+    return users_of(kept_reviews(spark, sf_dir))
+
+
+def users_of(kept: DataFrame) -> DataFrame:
+    return gold.dim_users(kept.where(F.col("recommendationid").isNotNull() & F.col("appid").isNotNull()))
+
+
+def kept_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the kept rows that ratings and users need, written once."""
+    return materialized(kept_reviews(spark, sf_dir).select(
+        "recommendationid", "steamid", "appid", "dt", "voted_up", "playtime_at_review", "num_reviews",
+        "timestamp_created"), "kept")
 
 
 def interactions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,6 +152,10 @@ def interactions_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions(kept_reviews(spark, sf_dir))
 
 
+def interactions_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialized(interactions_frame(spark, sf_dir), "interactions")
+
+
 @query("interaction_matrix")
 def q_interaction_matrix(spark, sf_dir):
     from critica.operators.interactions import interaction_matrix
@@ -178,14 +199,14 @@ def q_hash_split(spark, sf_dir):
 @query("topn_unseen")
 def q_topn_unseen(spark, sf_dir):
     from critica.operators.recommend import popular_unseen_top_n
-    return popular_unseen_top_n(interactions_frame(spark, sf_dir), 10)
+    return popular_unseen_top_n(interactions_once(spark, sf_dir), 10, unique_pairs=True)
 
 
 def popularity_eval_inputs(spark, sf_dir, k: int = 10):
     """Train/test by hash split; predictions = the train top-k for every test user also present in train."""
     from critica.operators.recommend import popular_top_k
     from critica.operators.split import hash_split
-    train, test = hash_split(interactions_frame(spark, sf_dir), ["steamid", "appid"])
+    train, test = hash_split(interactions_once(spark, sf_dir), ["steamid", "appid"])
     topk = popular_top_k(train, k).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("r", "appid"))), lambda x: x["appid"]).alias("a"))
     users = test.select("steamid").distinct().join(train.select("steamid").distinct(), "steamid")
@@ -202,23 +223,27 @@ def q_ranking_metrics(spark, sf_dir):
     return m.select("k", "n_users", r6("precision_at_k").alias("precision_at_k"), r6("ndcg_at_k").alias("ndcg_at_k"))
 
 
-def popularity_recs(spark, sf_dir, top_n: int = 10, generated_at: str = "2024-01-01 00:00:00") -> DataFrame:
-    """Published-shape recommendations (user_sk, ranked_appid, rank, score, generated_at) from the popularity
-    baseline, mapped to user_sk through dim_users."""
+GENERATED_AT = "2024-01-01 00:00:00"
+
+
+def popularity_recs(kept: DataFrame, top_n: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(recommendations, users) of a stored ``kept`` frame: published-shape rows of the popularity baseline, mapped to
+    user_sk through dim_users."""
+    from critica.operators.interactions import interactions
     from critica.operators.recommend import popular_unseen_top_n
-    top = popular_unseen_top_n(interactions_frame(spark, sf_dir), top_n)
-    users = users_frame(spark, sf_dir)
-    return (top.join(users.select("steamid", "user_sk"), "steamid")
-            .select(F.col("user_sk").cast("bigint"), F.col("appid").cast("bigint").alias("ranked_appid"),
-                    "rank", "score", F.to_timestamp(F.lit(generated_at)).alias("generated_at")))
+    users = users_of(kept).select("steamid", "user_sk")
+    top = popular_unseen_top_n(materialized(interactions(kept), "interactions"), top_n, unique_pairs=True)
+    recs = top.join(users, "steamid").select(
+        F.col("user_sk").cast("bigint"), F.col("appid").cast("bigint").alias("ranked_appid"), "rank", "score",
+        F.to_timestamp(F.lit(GENERATED_AT)).alias("generated_at"))
+    return recs, users
 
 
 @query("recommendation_lookup")
 def q_recommendation_lookup(spark, sf_dir):
     from critica.operators.serve import recommendations_for_users
-    recs = popularity_recs(spark, sf_dir)
-    users = users_frame(spark, sf_dir).select("user_sk")
-    return recommendations_for_users(recs, users, top_n=5, day="2024-01-01")
+    recs, users = popularity_recs(kept_once(spark, sf_dir))
+    return recommendations_for_users(recs, users.select("user_sk"), top_n=5, day=GENERATED_AT[:10])
 
 
 @query("load_verify_by_dt")
@@ -228,17 +253,15 @@ def q_load_verify_by_dt(spark, sf_dir):
 
 @query("load_verify_recs")
 def q_load_verify_recs(spark, sf_dir):
-    recs = popularity_recs(spark, sf_dir)
+    recs, _ = popularity_recs(kept_once(spark, sf_dir))
     return recs.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_sk").alias("n_users"))
 
 
 @query("dq_summary")
 def q_dq_summary(spark, sf_dir):
     from critica.operators.quality import run_suite
-    from critica.session import checkpoint_dir
-    checkpoint_dir(spark)
-    # staging feeds five tables and 24 tests: materialise it once (reliable checkpoint in the shared folder)
-    stg = stg_frame(spark, sf_dir).checkpoint(eager=True)
+    # staging feeds five tables and 24 tests: written once, without the text
+    stg = stg_once(spark, sf_dir)
     tables = gold.build_gold(stg)
     tables["stg_reviews"] = stg
     return run_suite(tables)
@@ -249,9 +272,54 @@ def q_als_recommend(spark, sf_dir):
     """ALS unseen top-10 over the whole reviews view (no oracle: factorisation is not bit-stable across
     layouts; the invariants are checked in tests)."""
     from critica.plans.recommender import run_recommender
-    res = run_recommender(kept_reviews(spark, sf_dir), users_frame(spark, sf_dir), "2024-01-01 00:00:00",
-                          top_n=10, evaluate=False)
-    return res.recommendations
+    kept = kept_once(spark, sf_dir)
+    return run_recommender(kept, users_of(kept), GENERATED_AT, top_n=10, evaluate=False).recommendations
+
+
+@query("als_shape")
+def q_als_shape(spark, sf_dir):
+    """What factorisation cannot change: with the model refitted on all interactions every user gets
+    min(10, unseen items) rows, and no row breaks an invariant (seen item, rank out of range or repeated, score
+    rising with rank)."""
+    from critica.operators.interactions import interactions
+    from critica.operators.recommend import AlsParams
+    from critica.plans.recommender import recommendation_invariants, run_recommender
+    kept = kept_once(spark, sf_dir)
+    users = users_of(kept)
+    recs = materialized(run_recommender(kept, users, GENERATED_AT, top_n=10, evaluate=False, refit_on_all=True,
+                                        params=AlsParams(rank=8, max_iter=2)).recommendations, "recs")
+    seen = interactions(kept).join(users.select("steamid", "user_sk"), "steamid").select("user_sk", "appid")
+    broken = recommendation_invariants(recs, seen, 10).groupBy("user_sk").agg(F.count(F.lit(1)).alias("b"))
+    return (recs.groupBy("user_sk").agg(F.count(F.lit(1)).alias("n_rows")).join(broken, "user_sk", "left")
+            .select("user_sk", "n_rows", F.coalesce("b", F.lit(0)).cast("bigint").alias("n_breaks")))
+
+
+def popular_candidates(inter: DataFrame, top_n: int = 10) -> DataFrame:
+    """(steamid, appid, score): per user the top_n + (own seen items) most popular items - enough to fill top_n after
+    the seen ones are removed, and no more."""
+    from critica.operators.recommend import popularity
+    ranked = popularity(inter).select(F.col("appid"), F.col("pop").cast("double").alias("score"), "r")
+    need = inter.groupBy("steamid").agg((F.count(F.lit(1)) + top_n).alias("need"))
+    wanted = need.select("steamid", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("need"))).alias("r"))
+    return wanted.join(ranked, "r").select("steamid", "appid", "score")
+
+
+@query("publish_fixed_scores")
+def q_publish_fixed_scores(spark, sf_dir):
+    """The publishing path with a score that is the same everywhere (popularity): dense ids, bounded candidates,
+    seen-item anti join, re-rank, map-back, contract check, day-partitioned write, read back."""
+    from critica.operators.interactions import interactions
+    from critica.operators.recommend import index_interactions, map_back, unseen_top_n
+    from critica.session import scratch_path
+    from critica.sources import sinks
+    kept = kept_once(spark, sf_dir)
+    data, user_map, item_map = index_interactions(interactions(kept))
+    data = materialized(data, "als_data")
+    scored = popular_candidates(data.select("steamid", "appid")).join(user_map, "steamid").join(item_map, "appid")
+    top = unseen_top_n(scored.select("user_idx", "item_idx", "score"), data.select("user_idx", "item_idx"), 10)
+    path = scratch_path(spark, "published")
+    sinks.publish_recommendations(map_back(top, user_map, item_map, users_of(kept), GENERATED_AT), path, GENERATED_AT[:10])
+    return sinks.read_recommendations(spark, path, GENERATED_AT[:10])
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -291,7 +359,8 @@ def q_resume_state(spark, sf_dir):
 def q_app_summary(spark, sf_dir):
     from critica.operators.pages import app_summary
     from critica.sources.bronze import pages_from_reviews
-    return app_summary(pages_from_reviews(reviews_view(spark, sf_dir)))
+    votes = reviews_view(spark, sf_dir, text=False).withColumn("review", F.col("review_key"))  # texts play no part
+    return app_summary(pages_from_reviews(votes))
 
 
 @query("target_item_restrict")
@@ -299,8 +368,8 @@ def q_target_item_restrict(spark, sf_dir):
     """Reviews of the target items only (left-semi join); the target list is the 50 most reviewed items."""
     from critica.operators.recommend import popularity
     from critica.sources.bronze import first_items
-    rv = reviews_view(spark, sf_dir)
-    ranked = popularity(rv.select("steamid", "appid").where(F.col("steamid").isNotNull()))
+    rv = reviews_view(spark, sf_dir, text=False).select("steamid", "appid")
+    ranked = popularity(rv.where(F.col("steamid").isNotNull()), distinct=True)
     targets = first_items(ranked, 50, "r").select("appid")
     kept = rv.join(targets, "appid", "left_semi")
     return kept.groupBy("appid").agg(F.count(F.lit(1)).alias("n_reviews"))
@@ -313,24 +382,88 @@ def q_target_item_restrict(spark, sf_dir):
 def q_partition_overwrite(spark, sf_dir):
     """Write the monthly interaction matrix, rewrite only its first month, read everything back: the other
     months must be untouched and the rewritten month present once (dynamic partition overwrite)."""
-    from critica.operators.interactions import interaction_matrix
     from critica.session import scratch_path
     from critica.sources.sinks import read_matrix, write_matrix
-    monthly = kept_reviews(spark, sf_dir).withColumn("dt", F.trunc("dt", "month"))
-    m = interaction_matrix(monthly)
+    m = monthly_matrix(spark, sf_dir)
     root = scratch_path(spark, "matrix")
     write_matrix(m, root)
     write_matrix(m.where(F.col("dt") == m.select(F.min("dt")).scalar()), root)
     return read_matrix(spark, root).withColumn("implicit_rating", r6("implicit_rating"))
 
 
+def monthly_matrix(spark, sf_dir):
+    from critica.operators.interactions import interaction_matrix
+    return materialized(interaction_matrix(kept_reviews(spark, sf_dir).withColumn("dt", F.trunc("dt", "month"))), "matrix")
+
+
+@query("day_replace_empty")
+def q_day_replace_empty(spark, sf_dir):
+    """Write the monthly matrix, then run its first and second month again with rows for the second only: the first
+    month must be empty afterwards, the second replaced, the others untouched."""
+    from critica.session import scratch_path
+    from critica.sources.sinks import read_matrix, write_matrix
+    m = monthly_matrix(spark, sf_dir)
+    root = scratch_path(spark, "matrix")
+    write_matrix(m, root)
+    first = m.select(F.min("dt").alias("a"), F.add_months(F.min("dt"), 1).alias("b")).first()
+    half = m.where(F.col("dt") == F.lit(first.b)).withColumn("implicit_rating", F.col("implicit_rating") / 2)
+    write_matrix(half, root, [str(first.a), str(first.b)])
+    return read_matrix(spark, root).withColumn("implicit_rating", r6("implicit_rating"))
+
+
+# ---------------------------------------------------------------------------------------------------------
+# bronze files -> silver files
+# ---------------------------------------------------------------------------------------------------------
+ITEM_GROUPS = 8
+
+
+def coarse_pages(spark, sf_dir):
+    """All reviews as page files in few folders: the year stands for the day, items fall into a fixed number of groups."""
+    from critica.sources.bronze import pages_from_reviews
+    rv = reviews_view(spark, sf_dir).withColumn("dt", F.trunc("dt", "year")) \
+        .withColumn("appid", F.pmod("appid", F.lit(ITEM_GROUPS)).cast("int"))
+    return pages_from_reviews(rv)
+
+
+def silver_digest(silver: DataFrame) -> DataFrame:
+    return silver.select("recommendationid", "dt", "appid", "votes_up", "timestamp_updated", "review_length",
+                         "playtime_bucket")
+
+
+@query("bronze_to_silver")
+def q_bronze_to_silver(spark, sf_dir):
+    """Page files written, read back with the page contract, flattened, silver built, written and read by day."""
+    from critica.session import scratch_path
+    from critica.sources import bronze, sinks
+    root = scratch_path(spark, "lake")
+    bronze.write_bronze(coarse_pages(spark, sf_dir), f"{root}/bronze")
+    pages = bronze.require_rows(bronze.read_bronze(spark, f"{root}/bronze", multi_line=False), "bronze")
+    stats = sv.SilverStats()
+    sinks.write_silver(sv.silver(sv.flatten_reviews(stats.watch_pages(pages)), stats=stats), root)
+    return silver_digest(sinks.read_silver(spark, root))
+
+
+@query("incremental_silver")
+def q_incremental_silver(spark, sf_dir):
+    """Incremental refresh over page files: a first run over all years but the newest, then the newest year arrives
+    and a second run picks up only its files."""
+    from critica.session import scratch_path
+    from critica.sources import bronze, sinks
+    from critica.streaming.incremental import incremental_silver
+    root = scratch_path(spark, "lake")
+    pages = materialized(coarse_pages(spark, sf_dir), "pages")
+    newest = pages.select(F.max("dt")).scalar()
+    for part in (pages.where(F.col("dt") < newest), pages.where(F.col("dt") == newest)):
+        bronze.write_bronze(part, f"{root}/bronze")
+        incremental_silver(spark, f"{root}/bronze", root, f"{root}/progress", multi_line=False)
+    return silver_digest(sinks.read_silver(spark, root))
+
+
 @query("fact_incremental")
 def q_fact_incremental(spark, sf_dir):
     """Incremental fact build: the existing fact holds the days before the last 90; the run rebuilds every day
     >= max(existing dt) (so the last existing day is re-processed, as an insert-overwrite would)."""
-    from critica.session import checkpoint_dir
-    checkpoint_dir(spark)
-    stg = stg_frame(spark, sf_dir).checkpoint(eager=True)
+    stg = stg_once(spark, sf_dir)
     cut = stg.select(F.date_sub(F.max("dt"), 90)).scalar()
     existing = gold.fact_reviews(stg.where(F.col("dt") < cut))
     inc = gold.fact_incremental(stg, existing)
@@ -352,14 +485,9 @@ def q_expired_partitions(spark, sf_dir):
 
 @query("seen_anti_join")
 def q_seen_anti_join(spark, sf_dir):
-    """candidates = the 20 most popular items (a top-k list, bounded by k) for every user; the pairs the user
-    has already seen are removed with a left-anti join on (user, item)."""
-    from critica.operators.recommend import popular_top_k
-    inter = interactions_frame(spark, sf_dir)
-    top = popular_top_k(inter, 20).agg(F.collect_list("appid").alias("a"))
-    users = inter.select("steamid").distinct()
-    cands = users.select("steamid", F.explode(top.scalar()).alias("appid"))
-    return cands.join(inter.select("steamid", "appid"), ["steamid", "appid"], "left_anti")
+    """Every user's candidates (its top_n + seen most popular items) without the pairs it has already seen."""
+    inter = interactions_once(spark, sf_dir)
+    return popular_candidates(inter).select("steamid", "appid").join(inter, ["steamid", "appid"], "left_anti")
 
 
 @query("event_interactions")

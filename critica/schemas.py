@@ -104,6 +104,29 @@ RECS_SCHEMA = T.StructType([
 ])
 
 
+FACT_SCHEMA = T.StructType([
+    T.StructField("review_id", T.StringType()),
+    T.StructField("game_sk", T.LongType()),
+    T.StructField("user_sk", T.LongType()),
+    T.StructField("dt", T.DateType()),
+    T.StructField("voted_up", T.BooleanType()),
+    T.StructField("playtime_at_review_min", T.LongType()),
+    T.StructField("votes_up", T.LongType()),
+    T.StructField("weighted_vote_score", T.DoubleType()),
+    T.StructField("sentiment_score", T.DoubleType()),
+    T.StructField("sentiment_label", T.StringType()),
+    T.StructField("review_length", T.LongType()),
+    T.StructField("created_ts", T.TimestampType()),
+])
+
+MATRIX_SCHEMA = T.StructType([
+    T.StructField("user_sk", T.StringType()),
+    T.StructField("appid", T.IntegerType()),
+    T.StructField("implicit_rating", T.DoubleType()),
+    T.StructField("dt", T.DateType()),
+])
+
+
 class SchemaMismatch(ValueError):
     pass
 

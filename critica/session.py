@@ -85,6 +85,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialized(df, name: str):
+    """Write ``df`` once to the shared folder and read it back: one pass over its source for several consumers."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session (call when no DataFrame over them is in use any more)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables")
+    folder.getFileSystem(conf).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for an intermediate table."""
     import uuid

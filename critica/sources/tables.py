@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from critica.functions.features import non_blank
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -40,24 +42,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer files than there are task slots over all slots.
-
-    A single-file table (one Parquet row group) is read by one task however it is split; heavy per-row work
-    after it (joins that attach text, sorts, shuffle writes) would then run on one core. A round-robin
-    repartition of the (still narrow) rows fixes that for small inputs; large inputs, which come in many files,
-    are left as they are (no extra shuffle at scale).
-    """
-    if not slots:
-        try:
-            slots = df.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
-            slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if len(df.inputFiles()) < slots:
-        return df.repartition(slots)
-    return df
-
-
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Expose the tables by name as temporary views (``spark.table(name)`` / SQL)."""
     for n in names:
@@ -72,15 +56,23 @@ def language_name(code) -> F.Column:
     return expr.otherwise(c)
 
 
-def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat reviews (FLAT_SCHEMA columns) over lineitem ⋈ orders ⋈ documents."""
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
+def reviews_view(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
+    """Flat reviews (FLAT_SCHEMA columns) over lineitem ⋈ orders ⋈ documents.
+
+    ``text=False`` leaves the review text out and carries what decides about it instead, computed once per document:
+    ``has_text`` (the junk filter) and ``review_key`` (the md5 tie-breaker of dedup). Lines are distributed by the
+    order key, so a table that arrives in few files is spread for the work after it.
+    """
+    li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate").repartition("l_orderkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     docs = read_table(spark, sf_dir, "documents")
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # uncorrelated scalar subquery, evaluated once
-    d = docs.select(F.col("doc_id"), F.col("text").alias("review"), language_name("lang").alias("language"))
+    about_text = [F.col("text").alias("review")] if text else [non_blank("text").alias("has_text"),
+                                                               F.md5("text").alias("review_key")]
+    d = docs.select(F.col("doc_id"), language_name("lang").alias("language"), *about_text)
+    text_columns = ["review"] if text else ["has_text", "review_key"]
 
     lines = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("doc_slot", F.pmod(F.col("l_orderkey"), n_docs))
     j = lines.join(d, lines.doc_slot == d.doc_id)
@@ -92,7 +84,7 @@ def reviews_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("l_extendedprice") * F.col("l_discount")).cast("bigint").alias("playtime_at_review"),
         F.col("l_suppkey").cast("bigint").alias("num_reviews"),
         F.col("language"),
-        F.col("review"),
+        *text_columns,
         F.unix_timestamp(F.col("o_orderdate")).alias("timestamp_created"),
         F.unix_timestamp(F.col("l_shipdate")).alias("timestamp_updated"),
         (F.col("l_returnflag") != F.lit("R")).alias("voted_up"),
@@ -131,6 +123,7 @@ reviews_v as (
     l.l_discount = 0.0 as received_for_free,
     o.o_orderstatus = 'P' as written_during_early_access,
     cast(l.l_partkey as integer) as appid,
+    d.doc_id as doc_id,
     cast(o.o_orderdate as date) as dt
   from lineitem l
   join orders o on l.l_orderkey = o.o_orderkey

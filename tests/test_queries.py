@@ -8,14 +8,15 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_queries_match_oracle(spark):
-    import __spark_entry__ as entry
     from critica.plans.check import compare
-    res = compare(spark, SF, sorted(entry.queries()))
+    from critica.plans.oracle import ORACLE
+    from critica.plans.queries import QUERIES
+    res = compare(spark, SF, sorted(QUERIES))
     errors = {k: v["error"] for k, v in res.items() if "error" in v}
     assert not errors, errors
     bad = [k for k, v in res.items() if v.get("match") is False]
     assert not bad, {k: res[k] for k in bad}
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert missing <= {"als_recommend"}
 
 

@@ -92,3 +92,19 @@ def test_sql_twin_agrees(spark):
     got = dict(con.execute(sentiment_sql("t", "id", "text")).fetchall())
     for i, t in enumerate(TEXTS):
         assert got[i] == pytest.approx(reference_score(t), abs=1e-9), t
+
+
+def test_rows_that_share_their_keys_are_scored_on_their_own(spark):
+    from critica.functions.sentiment import add_sentiment
+    df = spark.createDataFrame([(1, "good"), (1, "bad bad"), (1, "good"), (2, None)], "k int, review string")
+    keyed = sorted((str(r["review"]), round(r["sentiment_score"], 6)) for r in add_sentiment(df, keys=["k"]).collect())
+    folded = sorted((str(r["review"]), round(r["sentiment_score"], 6)) for r in add_sentiment(df).collect())
+    assert keyed == folded
+
+
+def test_large_lexicon(spark):
+    from critica.functions.sentiment import LexiconScorer, add_sentiment
+    sc = LexiconScorer(lexicon={f"word{chr(97 + i % 26)}{'x' * (i // 26)}": (i % 9) - 4.0 for i in range(2000)})
+    df = spark.createDataFrame([(1, "wordb wordaxx wordcxxx")], "k int, review string")
+    a = add_sentiment(df, scorer=sc, keys=["k"]).first()["sentiment_score"]
+    assert abs(a - add_sentiment(df, scorer=sc).first()["sentiment_score"]) < 1e-9

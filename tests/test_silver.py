@@ -132,3 +132,10 @@ def test_empty_reviews_page_yields_no_rows(spark):
         ",_corrupt_record:string", "")).withColumn("appid", F.lit(1))
     assert sv.flatten_reviews(pages, dt="2024-01-01").count() == 0
     assert math.isfinite(1.0)
+
+
+def test_versions_that_tie_on_everything_but_the_vote(spark):
+    a = review_row(recommendationid="t", voted_up=True)
+    b = review_row(recommendationid="t", voted_up=False)
+    kept = {tuple(sv.deduplicate(flat_df(spark, rows)).select("voted_up").first()) for rows in ([a, b], [b, a])}
+    assert len(kept) == 1

@@ -42,3 +42,58 @@ def test_publish_and_lookup_requires_day(spark, tmp):
     assert [(r["rank"], r["ranked_appid"]) for r in got] == [(1, 10)]
     with pytest.raises(ValueError):
         sinks.read_recommendations(spark, path, "")
+
+
+def matrix(spark, *rows):
+    return spark.createDataFrame([(u, a, r, dt.date(2024, 1, d)) for u, a, r, d in rows],
+                                 "user_sk string, appid int, implicit_rating double, dt date")
+
+
+def days_of(spark, path):
+    return sorted((r["user_sk"], r["dt"].day) for r in sinks.read_matrix(spark, path).collect())
+
+
+@pytest.mark.parametrize("owned", [["2024-01-02"], ["2024-01-02", "2024-01-03"]])
+def test_owned_days_without_rows_are_emptied(spark, tmp, owned):
+    sinks.write_matrix(matrix(spark, ("a", 1, 0.5, 1), ("b", 1, 0.5, 2), ("c", 1, 0.5, 3)), tmp)
+    sinks.write_matrix(matrix(spark, ("x", 1, 0.5, 1), ("d", 1, 0.5, 3)), tmp, owned)
+    rest = [("c", 3)] if len(owned) == 1 else [("d", 3)]
+    assert days_of(spark, tmp) == [("a", 1), *rest]  # rows of days that are not owned are not written
+
+
+def test_every_day_emptied_can_still_be_read(spark, tmp):
+    sinks.write_matrix(matrix(spark, ("a", 1, 0.5, 1)), tmp)
+    sinks.write_matrix(matrix(spark), tmp, ["2024-01-01"])
+    assert days_of(spark, tmp) == [] and sinks.read_matrix(spark, tmp, "2024-01-01").count() == 0
+
+
+def test_published_day_is_replaced_by_an_empty_one_and_the_contract_holds(spark, tmp):
+    from critica.schemas import FACT_SCHEMA, RECS_SCHEMA
+    recs = spark.createDataFrame([(1, 10, 1, 0.9)], "user_sk bigint, ranked_appid bigint, rank bigint, score double") \
+        .withColumn("generated_at", F.to_timestamp(F.lit("2024-01-05 03:00:00")))
+    sinks.publish_recommendations(recs, tmp, "2024-01-05")
+    sinks.publish_recommendations(spark.createDataFrame([], RECS_SCHEMA), tmp, "2024-01-05")
+    assert sinks.read_recommendations(spark, tmp, "2024-01-05").count() == 0
+    with pytest.raises(SchemaMismatch):
+        sinks.publish_recommendations(recs.withColumn("rank", F.col("rank").cast("int")), tmp)
+    with pytest.raises(SchemaMismatch):
+        sinks.write_fact(spark.createDataFrame([], FACT_SCHEMA).withColumn("extra", F.lit(1)), tmp)
+
+
+def test_materialisations_and_export(spark, tmp):
+    df = spark.range(5).withColumnRenamed("id", "n")
+    sinks.materialize(df, "v_numbers")
+    assert spark.table("v_numbers").count() == 5
+    sinks.export_parquet(df, f"{tmp}/out")
+    assert spark.read.parquet(f"{tmp}/out").count() == 5
+    with pytest.raises(ValueError):
+        sinks.materialize(df, "x", "cube")
+
+
+def test_tables_by_name(spark):
+    import os
+
+    from critica.sources.tables import register_views
+    if os.path.isdir("/root/testdata/sf0.001"):
+        register_views(spark, "/root/testdata/sf0.001", ("region", "nation"))
+        assert spark.sql("select count(*) as n from nation join region on n_regionkey = r_regionkey").first()["n"] == 25

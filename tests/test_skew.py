@@ -21,10 +21,15 @@ def test_dedup_hot_key(spark):
 
 def test_single_day_fact_write_uses_many_tasks(spark, tmp):
     from critica.sources.sinks import write_fact
-    fact = spark.range(0, 20000).select(
-        F.col("id").cast("string").alias("review_id"), (F.col("id") % 997).alias("game_sk"),
-        F.to_date(F.lit("2024-01-01")).alias("dt"))
-    write_fact(fact, f"{tmp}/fact")
+    from critica.schemas import FACT_SCHEMA
+    given = {"review_id": F.col("id").cast("string"), "game_sk": F.col("id") % 997, "dt": F.to_date(F.lit("2024-01-01"))}
+    fact = spark.range(0, 20000).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                                          for f in FACT_SCHEMA.fields])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small data: keep the ranges apart
+    try:
+        write_fact(fact, f"{tmp}/fact", ["2024-01-01"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = glob.glob(os.path.join(tmp, "fact", "dt=2024-01-01", "*.parquet"))
     assert len(files) > 1
     back = spark.read.parquet(f"{tmp}/fact")
