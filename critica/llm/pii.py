@@ -1,7 +1,8 @@
 """Operator 8 [native]: personal data by weak supervision.
 
 Candidates are all matches of the strict patterns (also those that fail their check) and of wider patterns per kind:
-spelled-out addresses, bracketed dots, national phone numbers, card numbers with other separators. Five labelers vote on
+spelled-out addresses, bracketed dots, national phone numbers, card numbers with other separators, and numbers inside a
+strict match that ran on into its neighbours. Five labelers vote on
 each candidate (+1 personal, -1 not, 0 no opinion): the strict pattern with its check, a plausibility rule, a gazetteer
 (top-level domains, reserved networks, issuer and dialling prefixes), the words before the span, and its borders. The
 number of candidates per vote pattern is counted over the whole corpus; expectation-maximisation on these counts (at
@@ -43,8 +44,8 @@ WIDE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64} ?[\[({]? ?(?:at|AT|@) ?[\])}]? ?[A-Za-z0-9-]{2,63}"
              r"(?: ?[\[({] ?(?:dot|DOT|\.) ?[\])}] ?[A-Za-z]{2,24}| dot [A-Za-z]{2,24}){1,4}",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}(?:\[?\(?(?:\.|dot)\)?\]?[0-9]{1,3}){2}(?![0-9])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9])",
-    "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9])|(?<![0-9])00[1-9][0-9]{0,2}"
+    "card": r"(?<![0-9])(?:[0-9]{16}|[0-9]{4}(?:[ ._/-][0-9]{4}){3})(?![0-9])",
+    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9])|(?<![0-9])00[1-9][0-9]{0,2}"
              r"(?:[ -][0-9]{2,4}){3,4}(?![0-9])",
 }
 # words before a span that speak for or against it
@@ -176,14 +177,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     guards = {"email": F.col("at"), "ip": num & F.col("t").contains("."), "card": num, "phone": num & F.col("plus")}
     spelled = F.col("at") | F.col("t").contains("dot") | F.col("t").contains("DOT")
     wide = {"email": spelled & (F.col("t").rlike(r"[\[({] ?(?:dot|DOT|\.) ?[\])}]| dot ")),
-            "ip": num & F.col("t").rlike(r"[0-9][\[(](?:\.|dot)"), "card": num & F.col("t").rlike("[0-9]{4}[._/][0-9]{4}"),
-            "phone": num & F.col("t").rlike("[0-9]{3}[-.][0-9]{4}|00[1-9]")}
+            "ip": num & F.col("t").rlike(r"[0-9][\[(](?:\.|dot)"), "card": num & F.col("t").rlike("[0-9]{4}[ ._/-]?[0-9]{4}"),
+            "phone": num & F.col("t").rlike("[0-9]{3}[ .-]?[0-9]{4}|00[1-9]")}
     found = marks.select("doc_id", *[matches(F.col("t"), STRICT[k], guards[k]).alias(f"s_{k}") for k in KINDS],
                          *[matches(F.col("t"), WIDE[k], wide[k]).alias(f"w_{k}") for k in KINDS])
 
     def of_kind(k):
         strict, loose = F.col(f"s_{k}"), F.col(f"w_{k}")
-        fresh = F.filter(loose, lambda w: ~F.exists(strict, lambda s: overlaps(s, w)))
+        # a strict match that fails its check may have run on into neighbouring digits: look inside it
+        fresh = F.filter(loose, lambda w: ~F.exists(strict, lambda s: overlaps(s, w) & (
+            strict_check(k, s["txt"]) | ((s["start"] == w["start"]) & (s["end"] == w["end"])))))
         both = F.concat(candidates_of(k, F.filter(strict, lambda s: worth(k, s["txt"])), True),
                         candidates_of(k, fresh, False))
         return F.sort_array(both)

@@ -78,9 +78,10 @@ def test_em_finds_the_reliable_labelers():
 def test_classifier_accepts_plausible_additions(spark):
     strict = [(i, f"tel +1 (456) 555-{i:04d} mail x{i}@mail.example.com ip 8.8.{i % 256}.1", "en", "s", 0, *["x"] * 6)
               for i in range(1000, 1200)]
-    loose = [(1, "phone 456-555-2187 please", "en", "s", 0, *["x"] * 6), (2, "order 4929 1234 5678 9999 9 8", "en", "s", 0, *["x"] * 6)]
+    loose = [(3, "call +1 (456) 555-2186 10.0.0.1", "en", "s", 0, *["x"] * 6), (1, "phone 456-555-2187 please", "en", "s", 0, *["x"] * 6), (2, "order 4929 1234 5678 9999 9 8", "en", "s", 0, *["x"] * 6)]
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in P.find_pii(frame(spark, strict + loose)).where("doc_id < 10").collect()}
     assert got[1] == [("phone", 6, 18)] and got[2] == []
+    assert got[3] == [("ip", 23, 31), ("phone", 5, 22)]  # the strict phone ran on into the address and failed
 
 
 def test_native_plan(spark):
