@@ -6,7 +6,9 @@ Stages (each a separate Spark job graph, timed end to end):
   silver       reviews -> dedup -> junk filter -> features -> sentiment, written as Parquet (one pass, stats by Observation)
   gold         staging + dim_games + dim_users + fact_reviews + daily sentiment mart, written as Parquet
   dq_suite     the 24 data-quality tests on the written tables, gate evaluated
+  interactions max rating per user and item, written
   dense_index  dense user and item ids (distributed, no single-partition window)
+  als_index    interactions with dense ids, written
   als_fit      implicit ALS (rank 50, 10 iterations) on the 80 % hash split
   unseen_topn  bounded ALS candidates -> seen anti join -> top-10 -> id map-back, written
   topn_popular exact popularity unseen top-10 for every user, written
@@ -98,7 +100,7 @@ def main() -> None:
     # dense index
     inter = interactions(silver)
     inter_path = f"{scratch}/interactions"
-    inter.write.mode("overwrite").parquet(inter_path)
+    timed("interactions", lambda: inter.write.mode("overwrite").parquet(inter_path))
     inter = spark.read.parquet(inter_path)
 
     def build_index():
@@ -109,9 +111,14 @@ def main() -> None:
 
     timed("dense_index", build_index)
 
-    als_data, user_map, item_map = index_interactions(inter)
     als_path = f"{scratch}/als_data"
-    als_data.write.mode("overwrite").parquet(als_path)
+
+    def index_als():
+        data, users, items = index_interactions(inter)
+        data.write.mode("overwrite").parquet(als_path)
+        return users, items
+
+    user_map, item_map = timed("als_index", index_als)
     als_data = spark.read.parquet(als_path)
     rows["interactions"] = als_data.count()
     train, _test = hash_split(als_data, ["steamid", "appid"])
@@ -129,7 +136,7 @@ def main() -> None:
     rows["recommendations"] = timed("unseen_topn", topn)
 
     def pop():
-        popular_unseen_top_n(inter, 10).write.mode("overwrite").parquet(f"{scratch}/pop_recs")
+        popular_unseen_top_n(inter, 10, unique_pairs=True).write.mode("overwrite").parquet(f"{scratch}/pop_recs")
         return spark.read.parquet(f"{scratch}/pop_recs").count()
 
     rows["popular_recommendations"] = timed("topn_popular", pop)
