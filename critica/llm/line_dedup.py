@@ -160,6 +160,7 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
     per_doc = hits.groupBy(*group, "doc_id", "digest").agg(F.min("pos").alias("pos"))
     recurring = (per_doc.groupBy(*group).agg(F.count(F.lit(1)).alias("docs"), first)
                  .where(F.col("docs") >= min_docs(F.col("n"), chance_tokens)))
+    recurring = stored(recurring, "recurring")  # a plain join side: adaptive execution can split hot templates
     f = F.col("first")
     is_first = F.col("doc_id").eqNullSafe(f["doc_id"]) & (F.col("digest") == f["digest"]) & (F.col("pos") == f["pos"])
     return (hits.join(recurring, group).where(~is_first)
