@@ -4,7 +4,7 @@ A line's tokens are its words, lower-cased (A-Z), with every token that holds a
 has fixed depth: token count, then the first ``DEPTH`` tokens; a leaf holds templates. Lines of a leaf that agree with
 a template in at least ``SIMILARITY`` of their positions generalise it: positions that differ become wildcards. A
 template is recurring if it occurs in at least ``min_docs(tokens)`` documents - two for long lines, more for short ones,
-which repeat by chance. All occurrences of a recurring template but the first one are dropped, so the corpus keeps one
+which repeat by chance; lines under ``MIN_TOKENS`` tokens always stay. All occurrences of a recurring template but the first one are dropped, so the corpus keeps one
 copy of every passage. Blank lines stay.
 
 Scale: exact copies of a line collapse with counts before any leaf is gathered, so a line that fills a third of the
@@ -26,7 +26,8 @@ from critica.llm.common import bytes_list, read, stored
 DEPTH = 3
 SIMILARITY = 0.8
 CHANCE_TOKENS = 60  # a template of n tokens needs ceil(CHANCE_TOKENS / n) documents, at least two
-LEAF_TEMPLATES = 20_000  # templates of a leaf that are compared with later lines; beyond it lines match exactly only
+MIN_TOKENS = 3  # shorter lines repeat by chance at any size and are no templates
+SCAN_TEMPLATES = 256  # leaves with more templates look candidates up instead of comparing all
 
 WILDCARD = b"<*>"
 
@@ -84,32 +85,56 @@ def line_rows(docs: DataFrame, texts: bool, depth: int = DEPTH) -> DataFrame:
 
 
 class Leaf:
-    """Templates of one leaf: token ids per position, 0 for a wildcard."""
+    """Templates of one leaf: token ids per position, 0 for a wildcard.
+
+    A line may differ from its template in ``slack`` positions, so among any slack + 1 positions at least one agrees.
+    Once a leaf holds many templates, a line is compared only with those that agree in one of its last slack + 1
+    positions (by token or wildcard), which finds the same template as comparing all.
+    """
 
     def __init__(self, n: int, similarity: float):
+        import math
+
         import numpy as np
 
         self.np, self.n, self.similarity = np, n, similarity
+        self.slack = n - math.ceil(similarity * n)
+        self.probe = range(max(0, n - self.slack - 1), n)
         self.words: dict[bytes, int] = {WILDCARD: 0}
         self.rows = np.zeros((8, n), np.int32)
         self.names: list[int] = []
+        self.holders: dict[tuple[int, int], list[int]] = {}  # (position, token) -> templates, token 0: wildcard
 
     def add(self, key: int, masked: bytes) -> int:
         """The template (named by the hash of its first line) that the line joins."""
+        if not self.slack:
+            return key  # only equal lines agree, and those are one row already
         np, words = self.np, self.words
         ids = np.array([words.setdefault(t, len(words)) for t in masked.split(b" ")], np.int32)
         k = len(self.names)
-        if k:
-            same = ((self.rows[:k] == ids) | (self.rows[:k] == 0)).sum(axis=1)
+        if k <= SCAN_TEMPLATES:
+            near = slice(0, k)
+        else:
+            near = np.array(sorted({t for p in self.probe for token in (0, int(ids[p]))
+                                    for t in self.holders.get((p, token), ())}), np.int64)
+        rows = self.rows[near]
+        if len(rows):
+            same = ((rows == ids) | (rows == 0)).sum(axis=1)
             best = int(same.argmax())
             if same[best] >= self.similarity * self.n:
-                self.rows[best][self.rows[best] != ids] = 0
-                return self.names[best]
-        if k < LEAF_TEMPLATES:
-            if k == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[k] = ids
-            self.names.append(key)
+                at = best if k <= SCAN_TEMPLATES else int(near[best])
+                differs = (self.rows[at] != ids) & (self.rows[at] != 0)
+                self.rows[at][differs] = 0
+                for p in self.probe:
+                    if differs[p]:
+                        self.holders.setdefault((p, 0), []).append(at)
+                return self.names[at]
+        if k == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[k] = ids
+        self.names.append(key)
+        for p in self.probe:
+            self.holders.setdefault((p, int(ids[p])), []).append(k)
         return key
 
 
@@ -159,7 +184,7 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "pos")).alias("first")
     per_doc = hits.groupBy(*group, "doc_id", "digest").agg(F.min("pos").alias("pos"))
     recurring = (per_doc.groupBy(*group).agg(F.count(F.lit(1)).alias("docs"), first)
-                 .where(F.col("docs") >= min_docs(F.col("n"), chance_tokens)))
+                 .where((F.col("n") >= MIN_TOKENS) & (F.col("docs") >= min_docs(F.col("n"), chance_tokens))))
     recurring = stored(recurring, "recurring")  # a plain join side: adaptive execution can split hot templates
     f = F.col("first")
     is_first = F.col("doc_id").eqNullSafe(f["doc_id"]) & (F.col("digest") == f["digest"]) & (F.col("pos") == f["pos"])

@@ -44,6 +44,29 @@ def test_leaf_generalises_like_the_sequential_rule():
     assert [leaf.add(1, first), leaf.add(2, near), leaf.add(3, far), leaf.add(4, b" ".join([*words[:8], b"p", b"q"]))] == [1, 1, 3, 1]
 
 
+def test_large_leaves_find_the_same_templates(monkeypatch):
+    import random
+    rnd = random.Random(4)
+    lines = []
+    for i in range(300):
+        base = prose(i, 12).split()
+        for _ in range(4):
+            w = list(base)
+            for p in rnd.sample(range(3, 12), rnd.randint(0, 3)):
+                w[p] = rnd.choice(["x", "y", w[p], "<*>"])
+            lines.append(" ".join(w).encode())
+    rnd.shuffle(lines)
+
+    def run():
+        leaf = L.Leaf(12, 0.8)
+        return [leaf.add(i, line) for i, line in enumerate(lines)]
+
+    monkeypatch.setattr(L, "SCAN_TEMPLATES", 10 ** 9)
+    want = run()
+    monkeypatch.setattr(L, "SCAN_TEMPLATES", 5)
+    assert run() == want and len(set(want)) < 900
+
+
 def test_awkward_rows_and_columns(spark):
     out = L.line_dedup(frame(spark))
     assert out.columns == [*SCHEMA.names, "n_lines", "n_dropped", "kept_text"]
