@@ -28,6 +28,7 @@ TRAIN_PAGES = 160
 TRAIN_CHARS = 200_000  # longer pages are left out of the training sample only
 TRAIN_BLOCKS = 96  # training sequences are cut into pieces of so many blocks
 EPOCHS = 24
+MIN_STEPS = 240  # small samples are read more often
 PATH_SLOTS, WORD_SLOTS, HIDDEN = 64, 32, 16
 BATCH_PAGES = 64
 
@@ -253,6 +254,9 @@ def augmented(blocks, labels, rng):
         extra = [((texts[int(rng.integers(len(texts)))], (*base, *kind, "p"), float(rng.random() < 0.2)), 0)
                  for _ in range(int(rng.integers(1, 5)))]
         pairs[at:at] = extra
+    if rng.random() < 0.25:  # a long page: its main blocks several times over
+        times = int(rng.integers(2, 12))
+        pairs = [p for p in pairs for _ in range(times if p[1] else 1)]
     if rng.random() < 0.5:  # the same structure under other names
         names = {t: str(rng.choice(group)) for group in (sorted(MAIN), sorted(ASIDE)) for t in group}
         pairs = [((text, tuple(names.get(t, t) for t in path), links), y) for (text, path, links), y in pairs]
@@ -273,7 +277,9 @@ def train(pages: list[str], seed: int = 3):
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
     step = 0
-    for epoch in range(EPOCHS):
+    epoch = 0
+    while parsed and (epoch < EPOCHS or step < MIN_STEPS):
+        epoch += 1
         pieces = []
         for blocks in parsed:
             b, y = augmented(blocks, weak_labels(blocks), rng)
@@ -314,9 +320,13 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """(page_id, url, text, n_chars) of every row of ``pages``."""
     spark = pages.sparkSession
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    sample = (p.where(F.col("html").isNotNull() & (F.length("html") <= TRAIN_CHARS))
-              .orderBy(F.xxhash64("page_id", "url"), "html").limit(train_pages).select("html").collect())  # bounded sample
-    shipped = spark.sparkContext.broadcast(train([r.html for r in sample]))
+    # a bounded sample, drawn by hash; only the drawn pages reach the driver
+    every = max(1, p.count() // (2 * train_pages))
+    h = F.xxhash64("page_id", "url")
+    drawn = (p.where((F.pmod(h, F.lit(every)) == 0) & (F.length("html") <= TRAIN_CHARS)).select(h.alias("h"), "html")
+             .limit(4 * train_pages).collect())
+    sample = [html for _, html in sorted((r.h, r.html) for r in drawn)[:train_pages]]
+    shipped = spark.sparkContext.broadcast(train(sample))
     kind = dict(p.dtypes)["page_id"]
 
     def run(batches):

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read, stored, with_row_id, words_array
+from critica.llm.common import bytes_list, heaviest, read, stored, with_row_id
 
 TOP_WORDS = 255
 SUFFIXES = 128
@@ -44,11 +44,6 @@ END = b"\n"  # the end token; no word holds white space
 FOLDS, HELD_OUT = 5, 1
 
 
-def lowered(text):
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(text, upper, upper.lower())
-
-
 def is_held_out(id_col):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
@@ -118,8 +113,8 @@ class Vocabulary:
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
     """Vocabulary from the stored counts; only bounded tables reach the driver."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = (counts.where(F.length("word") <= MAX_LOOKUP_BYTES).orderBy(F.desc("c"), "word").limit(LOOKUP_WORDS).collect())
-    lookup = [(bytes(r.word), r.c) for r in top]
+    top = heaviest(counts.where(F.length("word") <= MAX_LOOKUP_BYTES), "c", LOOKUP_WORDS).collect()
+    lookup = sorted(((bytes(r.word), r.c) for r in top), key=lambda x: (-x[1], x[0]))
     words = [w for w, _ in lookup if w != END][:TOP_WORDS] + [END]
     own = F.col("word").isin([bytearray(w) for w in words])
     by_ending = counts.where(~own).groupBy(F.substring("word", -SUFFIX, SUFFIX).alias("e")).agg(

@@ -19,7 +19,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read, worker_store
+from critica.llm.common import bytes_list, heaviest, read, stored, worker_store
 
 TIER1_SIZE = 65_536  # broadcast entries (a few MB at most: chunks longer than 64 bytes are left to tier 2)
 SUMMARY_SIZE = 16_384  # entries each partition reports
@@ -53,10 +53,9 @@ def frequent_chunks(docs: DataFrame, text_col: str = "text", size: int = TIER1_S
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.binary()),
                                           pa.array([n for _, n in top], pa.int64())], ["chunk", "n"])
 
-    rows = (docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(summarise, "chunk binary, n bigint")
-            .groupBy("chunk").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "chunk").limit(size).select("chunk").collect())  # bounded by size
-    return [bytes(r.chunk) for r in rows]
+    merged = (docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(summarise, "chunk binary, n bigint")
+              .groupBy("chunk").agg(F.sum("n").alias("n")))
+    return [bytes(r.chunk) for r in heaviest(stored(merged, "chunks"), "n", size).collect()]  # bounded by size
 
 
 def _encoder(path: str):

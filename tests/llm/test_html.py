@@ -72,10 +72,10 @@ def test_gradients_by_differences():
 def test_table(spark):
     data = [(i, f"u{i}", page(i)[0], "x", "y") for i in range(40)]
     data += [data[0], (None, None, None, None, None), (50, "e", "", "", ""), (51, "t", "<p></p>", "", ""),
-             (52, "long", page(52, n=3000)[0], "", "")]
+             (52, "long", page(52, n=150)[0], "", "")]
     got = H.extract_main_text(spark.createDataFrame(data, SCHEMA), train_pages=40).collect()
     want = [(i, f"u{i}", page(i)[1]) for i in range(40)] + [(0, "u0", page(0)[1]), (None, None, ""), (50, "e", ""), (51, "t", ""),
-                                                            (52, "long", page(52, n=3000)[1])]
+                                                            (52, "long", page(52, n=150)[1])]
     assert sorted(map(repr, map(tuple, got))) == sorted(repr((*w, len(w[2]))) for w in want)
 
 
