@@ -2,14 +2,20 @@
 
 A line's tokens are its words, lower-cased (A-Z), with every token that holds a digit replaced by a wildcard. The tree
 has fixed depth: token count, then the first ``DEPTH`` tokens; a leaf holds templates. Lines of a leaf that agree with
-a template in at least ``SIMILARITY`` of their positions generalise it: positions that differ become wildcards. A
-template is recurring if it occurs in at least ``min_docs(tokens)`` documents - two for long lines, more for short ones,
-which repeat by chance; lines under ``MIN_TOKENS`` tokens always stay. All occurrences of a recurring template but the first one are dropped, so the corpus keeps one
-copy of every passage. Blank lines stay.
+a template in at least ``SIMILARITY`` of their positions generalise it: positions that differ become wildcards.
+
+Recurrence is counted over passages. A passage is a run of lines (blank ones between them do not matter) whose distinct
+templates hold at least ``PASSAGE_TOKENS`` literal tokens; a line that holds as many is a passage by itself. A passage
+that two documents share recurs, however its lines are cut, and with it all its lines, short ones too. It is found by
+the shortest passages that start or end at each line: they cover every line of any longer one. Outside of recurring
+passages, lines of ``MIN_TOKENS`` tokens and more recur from ``min_docs(tokens)`` documents on, since a few tokens
+repeat by chance. All occurrences of a recurring passage or line but the first one are dropped, so the corpus keeps one
+copy of each. Blank lines stay.
 
 Scale: exact copies of a line collapse with counts before any leaf is gathered, so a line that fills a third of the
 corpus is one row; leaves are read as a stream of sorted rows; counts of documents and first occurrences are grouped
-narrow rows. Documents carry only the numbers of their dropped lines back to the texts.
+narrow rows. Passages are hashes over lines that recur, two a line at most, so their number is linear in the lines. Documents
+carry only the numbers of their dropped lines back to the texts.
 
 Defined results: null and empty texts have no lines to drop and pass unchanged; rows with the same doc_id and the same
 text count as one document and get the same result; null doc_ids sort last; ties go to the smaller line number; an empty
@@ -25,15 +31,16 @@ from critica.llm.common import bytes_list, read, stored
 
 DEPTH = 3
 SIMILARITY = 0.8
-CHANCE_TOKENS = 60  # a template of n tokens needs ceil(CHANCE_TOKENS / n) documents, at least two
-MIN_TOKENS = 3  # shorter lines repeat by chance at any size and are no templates
+PASSAGE_TOKENS = 10  # literal tokens from which two documents do not share a passage by chance
+CHANCE_TOKENS = 60  # a lone line of n tokens needs ceil(CHANCE_TOKENS / n) documents, at least two
+MIN_TOKENS = 3  # shorter lines repeat by chance at any size and go only with their passage
 SCAN_TEMPLATES = 256  # leaves with more templates look candidates up instead of comparing all
 
 WILDCARD = b"<*>"
 
 
 def parse_line(line: bytes, depth: int = DEPTH):
-    """(token count, leaf hash, line hash, masked line) of a lower-cased line; None if it is blank."""
+    """(token count, leaf hash, line hash, masked line, literal tokens) of a lower-cased line; None if it is blank."""
     import re
 
     import xxhash
@@ -45,7 +52,7 @@ def parse_line(line: bytes, depth: int = DEPTH):
         tokens = [WILDCARD if re.search(rb"[0-9]", t) else t for t in tokens]
     masked = b" ".join(tokens)
     leaf = xxhash.xxh64_intdigest(b"%d " % len(tokens) + b" ".join(tokens[:depth]), 1) - (1 << 63)
-    return len(tokens), leaf, xxhash.xxh64_intdigest(masked, 2) - (1 << 63), masked
+    return len(tokens), leaf, xxhash.xxh64_intdigest(masked, 2) - (1 << 63), masked, len(tokens) - tokens.count(WILDCARD)
 
 
 def line_rows(docs: DataFrame, texts: bool, depth: int = DEPTH) -> DataFrame:
@@ -59,13 +66,15 @@ def line_rows(docs: DataFrame, texts: bool, depth: int = DEPTH) -> DataFrame:
             for doc_id, digest, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                            bytes_list(batch.column(2))):
                 seen = set()
+                seq = 0  # line number without the blank lines
                 for pos, line in enumerate(raw.lower().split(b"\n")):
                     parsed = parse_line(line, depth)
                     if parsed is None:
                         continue
-                    n, leaf, key, masked = parsed
+                    n, leaf, key, masked, literal = parsed
                     if not texts:
-                        rows.append((doc_id, digest, pos, n, leaf, key))
+                        rows.append((doc_id, digest, pos, seq, n, literal, leaf, key))
+                        seq += 1
                     elif key not in seen:
                         seen.add(key)
                         rows.append((n, leaf, key, masked))
@@ -78,9 +87,9 @@ def line_rows(docs: DataFrame, texts: bool, depth: int = DEPTH) -> DataFrame:
         names, kinds = ["n", "leaf", "line", "masked"], [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         schema = "n int, leaf bigint, line bigint, masked binary"
     else:
-        names = ["doc_id", "digest", "pos", "n", "leaf", "line"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        schema = "doc_id bigint, digest bigint, pos int, n int, leaf bigint, line bigint"
+        names = ["doc_id", "digest", "pos", "seq", "n", "literal", "leaf", "line"]
+        kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64()]
+        schema = "doc_id bigint, digest bigint, pos int, seq int, n int, literal int, leaf bigint, line bigint"
     return docs.mapInArrow(run, schema)
 
 
@@ -174,22 +183,119 @@ def min_docs(n, chance_tokens: int = CHANCE_TOKENS):
     return F.greatest(F.lit(2), F.ceil(F.lit(chance_tokens) / n))
 
 
+def shortest_passages(lines, least: int = PASSAGE_TOKENS):
+    """(start, end, hash) of the shortest passages from and to every line of one document.
+
+    ``lines`` are (pos, seq, weight, template hash) of the recurring lines in order; a gap in ``seq`` ends a run. The
+    weight of a passage counts each of its templates once. Passages of one line are left out: they are lines.
+    """
+    prime, base = (1 << 61) - 1, 1_000_003
+    sums, powers = [0], [1]
+    for *_, t in lines:
+        sums.append((sums[-1] * base + t + (1 << 63)) % prime)
+        powers.append(powers[-1] * base % prime)
+    found = set()
+    run, start, weight = 0, 0, 0
+    held: dict[int, int] = {}  # template -> occurrences from start to end
+    for end, (_, seq, w, t) in enumerate(lines):
+        if end and seq != lines[end - 1][1] + 1:
+            run, start, weight, held = end, end, 0, {}
+        held[t] = held.get(t, 0) + 1
+        weight += w if held[t] == 1 else 0
+        while weight >= least:
+            found.add((start, end))  # the shortest passage from start
+            _, _, v, u = lines[start]
+            held[u] -= 1
+            weight -= v if held[u] == 0 else 0
+            start += 1
+        if start > run:
+            found.add((start - 1, end))  # the shortest passage to end
+    return [(lines[a][0], lines[b][0], (sums[b + 1] - sums[a] * powers[b + 1 - a]) % prime)
+            for a, b in sorted(found) if a < b]
+
+
+LINES = "array<struct<pos:int,seq:int,weight:int,template:bigint,lone:boolean>>"
+
+
+def passage_rows(runs: DataFrame) -> DataFrame:
+    """(doc_id, digest, start, end, passage) of the recurring lines of every document."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for doc_id, digest, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                lines = [(x["pos"], x["seq"], x["weight"], x["template"]) for x in found]
+                rows += [(doc_id, digest, *p) for p in shortest_passages(lines)]
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             ["doc_id", "digest", "start", "end", "passage"])
+
+    many = runs.where(F.size("lines") > 1).select("doc_id", "digest", "lines")
+    return many.mapInArrow(run, "doc_id bigint, digest bigint, start int, end int, passage bigint")
+
+
+def covered_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, dropped) of (doc_id, digest, lines, spans): lone lines and all lines within a span."""
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = []
+            for doc_id, digest, lines, spans in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                gone, at, until = [], 0, -1
+                spans = sorted((x["start"], x["end"]) for x in spans)
+                for x in lines:
+                    while at < len(spans) and spans[at][0] <= x["pos"]:
+                        until = max(until, spans[at][1])
+                        at += 1
+                    if x["lone"] or x["pos"] <= until:
+                        gone.append(x["pos"])
+                if gone:
+                    rows.append((doc_id, digest, gone))
+            columns = list(zip(*rows)) if rows else [[]] * 3
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             ["doc_id", "digest", "dropped"])
+
+    return docs.mapInArrow(run, "doc_id bigint, digest bigint, dropped array<int>")
+
+
+def shared(rows: DataFrame, group: list[str], at: str, *more) -> DataFrame:
+    """(group, docs, first, more) of the groups of rows (doc_id, digest, ``at``) that two documents hold."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", at)).alias("first")
+    per_doc = rows.groupBy(*group, "doc_id", "digest").agg(F.min(at).alias(at), *[F.min(c).alias(c) for c in more])
+    return (per_doc.groupBy(*group).agg(F.count(F.lit(1)).alias("docs"), first, *[F.min(c).alias(c) for c in more])
+            .where(F.col("docs") > 1))
+
+
+def is_first(at: str):
+    f = F.col("first")
+    return F.col("doc_id").eqNullSafe(f["doc_id"]) & (F.col("digest") == f["digest"]) & (F.col(at) == f[at])
+
+
 def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY,
                   chance_tokens: int = CHANCE_TOKENS) -> DataFrame:
     """(doc_id, digest, dropped: sorted line numbers) of documents (doc_id, digest, text) that lose lines."""
     found = stored(templates(line_rows(docs, True, depth), similarity), "templates")
     hits = stored(line_rows(docs, False, depth).join(found, ["leaf", "line"])
-                  .select("doc_id", "digest", "pos", "n", "leaf", "template"), "hits")
+                  .select("doc_id", "digest", "pos", "seq", "n", "literal", "leaf", "template"), "hits")
     group = ["leaf", "template", "n"]
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "pos")).alias("first")
-    per_doc = hits.groupBy(*group, "doc_id", "digest").agg(F.min("pos").alias("pos"))
-    recurring = (per_doc.groupBy(*group).agg(F.count(F.lit(1)).alias("docs"), first)
-                 .where((F.col("n") >= MIN_TOKENS) & (F.col("docs") >= min_docs(F.col("n"), chance_tokens))))
-    recurring = stored(recurring, "recurring")  # a plain join side: adaptive execution can split hot templates
-    f = F.col("first")
-    is_first = F.col("doc_id").eqNullSafe(f["doc_id"]) & (F.col("digest") == f["digest"]) & (F.col("pos") == f["pos"])
-    return (hits.join(recurring, group).where(~is_first)
-            .groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set("pos")).alias("dropped")))
+    # plain join sides: adaptive execution can split hot templates and passages
+    recurring = stored(shared(hits, group, "pos", "literal").withColumnRenamed("literal", "weight"), "recurring")
+    enough = (F.col("weight") >= PASSAGE_TOKENS) | ((F.col("n") >= MIN_TOKENS)
+                                                   & (F.col("docs") >= min_docs(F.col("n"), chance_tokens)))
+    line = F.struct("pos", "seq", "weight", F.xxhash64(*group).alias("template"), (enough & ~is_first("pos")).alias("lone"))
+    runs = stored(hits.join(recurring, group).groupBy("doc_id", "digest")
+                  .agg(F.array_sort(F.collect_set(line)).cast(LINES).alias("lines")), "runs")
+    passages = stored(passage_rows(runs), "passages")
+    again = stored(shared(passages, ["passage"], "start"), "recurring-passages")
+    spans = passages.join(again, "passage").where(~is_first("start")).select("doc_id", "digest", F.struct("start", "end").alias("span"))
+    both = runs.withColumn("span", F.lit(None).cast("struct<start:int,end:int>")).unionByName(
+        spans.withColumn("lines", F.lit(None).cast(LINES)))
+    return covered_lines(both.groupBy("doc_id", "digest").agg(F.first("lines", ignorenulls=True).alias("lines"),
+                                                              F.collect_list("span").alias("spans")))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,

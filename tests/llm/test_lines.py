@@ -24,6 +24,34 @@ def test_recurring_templates_leave_one_copy(spark):
         assert out[i] == (texts[i], 0)
 
 
+def test_two_documents_share_a_passage_however_its_lines_are_cut(spark):
+    words = prose(70, 56).split()
+    short = "\n".join(" ".join(words[a:a + 2]) + "\n" * (a % 3) for a in range(0, 14, 2))  # two tokens a line, some blank lines
+    texts = [prose(300, 12) + "\n" + prose(301, 40), prose(300, 12) + "\n" + prose(302, 40),  # one line of 12 tokens
+             prose(303, 20) + "\n" + short + "\n" + prose(304, 20), short + "\n" + prose(305, 20),
+             prose(306, 4) + "\n" + prose(307, 30), prose(306, 4) + "\n" + prose(308, 30),  # a few tokens: by chance
+             "\n".join(["10", "7 8 9", "11", "12 1"] * 4) + "\n" + prose(309, 30), "\n".join(["1", "2 3 4", "5", "6 7"] * 4)]
+    out = kept(L.line_dedup(docs_of(spark, texts)))
+    assert [out[i][1] for i in range(8)] == [0, 1, 0, 7, 0, 0, 0, 0]
+    assert out[1][0] == prose(302, 40) and out[3][0].strip() == prose(305, 20) and out[2][0] == texts[2]
+
+
+def test_shortest_passages_cover_every_line_of_a_shared_run():
+    import random
+    rnd = random.Random(8)
+    for _ in range(300):
+        lines = [(2 * k, k + (k > 9), rnd.randint(0, 6), rnd.randint(1, 9)) for k in range(rnd.randint(1, 14))]
+        of = {t: w for _, _, w, t in lines}  # one weight a template
+        lines = [(p, s, of[t], t) for p, s, _, t in lines]
+        found = L.shortest_passages(lines, 10)
+        assert len(found) <= 2 * len(lines)
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                if lines[b][1] - lines[a][1] == b - a and sum(of[t] for t in {x[3] for x in lines[a:b + 1]}) >= 10:
+                    inside = {k for s, e, _ in found if a <= s // 2 and e // 2 <= b for k in range(s // 2, e // 2 + 1)}
+                    assert set(range(a, b + 1)) == inside | {k for k in range(a, b + 1) if lines[k][2] >= 10}
+
+
 def test_digits_are_variable_fields(spark):
     line = "visitor number {} of {} on this page since we began to count all of them in a book of names by hand"
     out = kept(L.line_dedup(docs_of(spark, [line.format(i, 7 * i) + "\n" + prose(i, 20) for i in range(1, 5)])))
