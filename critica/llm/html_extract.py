@@ -8,7 +8,7 @@ The labeller is trained on the driver from a bounded sample of ``TRAIN_PAGES`` p
 Its labels come from mark-up that says so itself (article or main, against navigation, footers, asides, forms, notices,
 adverts and comments by tag or name); hint features are masked at random and blocks of other kinds are inserted while
 training, so that words, shape and neighbourhood carry weight too. Pages are then labelled where they are read, in
-batches of similar length; every page is read whole.
+batches of similar length and bounded size; every page is read whole, a very long one by itself with running states.
 
 Defined results: null, empty and tag-only pages give an empty text; repeated rows and null page_ids are kept as they
 are; unclosed tags end with their parent, a truncated last tag is text of nobody; an empty table gives an empty result;
@@ -30,7 +30,9 @@ TRAIN_BLOCKS = 96  # training sequences are cut into pieces of so many blocks
 EPOCHS = 24
 MIN_STEPS = 240  # small samples are read more often
 PATH_SLOTS, WORD_SLOTS, HIDDEN = 64, 32, 16
-BATCH_PAGES = 64
+BATCH_BLOCKS = 16_384  # padded blocks labelled at a time: pages x longest page; a longer page is a batch by itself
+BATCH_CHARS = 16_000_000  # mark-up whose features are held at a time; a longer page alone
+CHUNK = 1024  # positions whose input products are held at a time while labelling
 
 # Elements by how they take part in text
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
@@ -220,13 +222,61 @@ def states(params, x, mask):
     return fwd, bwd, hf, hb, hf @ params["vf"] + hb @ params["vb"] + x @ params["vx"] + params["b"]
 
 
+def running_logits(params, x, mask, way: str):
+    """One direction's share of the logits (T, B), from running states only: nothing is kept for back-propagation."""
+    import numpy as np
+
+    steps, batch, _ = x.shape
+    out = np.empty((steps, batch), np.float32)
+    h = np.zeros((batch, HIDDEN), np.float32)
+    c = np.zeros_like(h)
+    wx, bias, wh, v = (params[k + way] for k in ("wx_", "b_", "wh_", "v"))
+    parts = [(a, min(a + CHUNK, steps)) for a in range(0, steps, CHUNK)]
+    for a, b in parts if way == "f" else parts[::-1]:
+        xw = x[a:b] @ wx + bias
+        for t in range(a, b) if way == "f" else range(b - 1, a - 1, -1):
+            z = xw[t - a] + h @ wh
+            i, f, o, g = sigmoid(z[:, :HIDDEN]), sigmoid(z[:, HIDDEN:2 * HIDDEN] + 1), \
+                sigmoid(z[:, 2 * HIDDEN:3 * HIDDEN]), np.tanh(z[:, 3 * HIDDEN:])
+            m = mask[t]
+            c_new = f * c + i * g
+            h, c = m * (o * np.tanh(c_new)) + (1 - m) * h, m * c_new + (1 - m) * c
+            out[t] = h @ v
+    return out
+
+
+def batches_of(lengths, blocks: int):
+    """Lists of pages in order of length, each of at most ``blocks`` padded blocks or a single page; empty pages in none."""
+    part: list[int] = []
+    for i in sorted((i for i, n in enumerate(lengths) if n), key=lambda i: lengths[i]):
+        if part and (len(part) + 1) * lengths[i] > blocks:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
+def slices_of(pages, chars: int):
+    """Runs of pages with at most ``chars`` characters in all, or a single page."""
+    part, held = [], 0
+    for page in pages:
+        n = len(page or "")
+        if part and (held + n > chars or len(part) == 512):
+            yield part
+            part, held = [], 0
+        part.append(page)
+        held += n
+    if part:
+        yield part
+
+
 def label(params, pages, threshold: float = 0.0):
     """Boolean labels of every leaf of the pages (feature matrices), batched by length."""
     out: list = [None] * len(pages)
-    order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-    for a in range(0, len(order), BATCH_PAGES):
-        part = order[a:a + BATCH_PAGES]
-        logits = states(params, *padded([pages[i] for i in part]))[-1]
+    for part in batches_of([len(p) for p in pages], BATCH_BLOCKS):
+        x, mask = padded([pages[i] for i in part])
+        logits = running_logits(params, x, mask, "f") + running_logits(params, x, mask, "b") + x @ params["vx"] + params["b"]
         for b, i in enumerate(part):
             out[i] = logits[:len(pages[i]), b] > threshold
     return out
@@ -335,9 +385,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         params = shipped.value
         for batch in batches:
             texts = []
-            pages_in = batch.column(2).to_pylist()
-            for a in range(0, len(pages_in), 512):  # features of a bounded number of pages at a time
-                parsed = [leaves(h) if h else [] for h in pages_in[a:a + 512]]
+            for part in slices_of(batch.column(2).to_pylist(), BATCH_CHARS):
+                parsed = [leaves(h) if h else [] for h in part]
                 labels = label(params, [vectors(b) for b in parsed])
                 texts += ["\n".join(t for (t, _, _), keep in zip(b, y) if keep) if b else ""
                           for b, y in zip(parsed, labels)]

@@ -39,6 +39,33 @@ def test_main_text_of_several_layouts(params, shell):
         assert "\n".join(b[0] for b, keep in zip(blocks, labels) if keep) == want
 
 
+def test_a_page_of_50000_blocks_is_labelled_in_bounded_memory(params):
+    import tracemalloc
+
+    pages = [H.vectors(H.leaves(page(i, SHELLS[i % 4])[0])) for i in range(63)]
+    blocks = H.leaves("<article>" + "".join(f"<p>{prose(k, 6)}.</p>" for k in range(50_000)) + "</article><footer>x</footer>")
+    long = H.vectors(blocks)
+    assert len(long) == 50_001
+    tracemalloc.start()
+    labels = H.label(params, [*pages, long])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * long.nbytes and len(labels[-1]) == 50_001
+    for x, y in zip(pages, labels):
+        assert (H.label(params, [x])[0] == y).all()
+    few = pages[5:8]
+    want = H.states(params, *H.padded(few))[-1]
+    assert all((want[:len(x), b] > 0).tolist() == y.tolist() for b, (x, y) in enumerate(zip(few, labels[5:8])))
+
+
+def test_batches_are_bounded_by_padded_blocks():
+    lengths = [3, 0, 50_000, 7, 900, 4, 20_000, 7]
+    parts = list(H.batches_of(lengths, 1000))
+    assert sorted(i for p in parts for i in p) == [0, 2, 3, 4, 5, 6, 7]
+    assert all(len(p) == 1 or len(p) * max(lengths[i] for i in p) <= 1000 for p in parts)
+    assert list(H.slices_of(["ab", None, "abc", "a" * 9, "b"], 5)) == [["ab", None, "abc"], ["a" * 9], ["b"]]
+
+
 def test_blocks_of_malformed_markup():
     blocks = H.leaves("<article><p><b>one<br>two &lt;3<p>x &amp y<li>a<li>b</article>after<p title='a>b'>c</p><p>cut <a hre")
     assert [b[0] for b in blocks] == ["one two <3", "x & y", "a", "b", "after", "c", "cut"]
