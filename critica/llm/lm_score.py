@@ -1,7 +1,8 @@
 """Operator 1: document scores of a log-bilinear language model trained with noise-contrastive estimation.
 
-Symbols. The model's vocabulary is bounded: the ``TOP_WORDS`` most frequent training tokens (and the end token) are
-symbols of their own, every other word belongs to the symbol of its last ``SUFFIX`` bytes (the most frequent endings,
+Symbols. The model's vocabulary follows the counts: every word with ``MIN_COUNT`` training tokens (and in any case the
+``LEAST_WORDS`` most frequent ones) is a symbol of its own, up to the ``TOP_WORDS`` for which the normaliser of every
+context pair is tabled, and so is the end token; every other word belongs to the symbol of its last ``SUFFIX`` bytes (the most frequent endings,
 and one for the rest). P(word | context) = P(symbol | context) * P(word | symbol), where the second factor is the
 smoothed share (c + 0.5) / (N_s + 0.5 (V_s + 1)) of the word within its symbol, one slot being left for unseen words.
 Both factors are normalised, so scores are log probabilities of whole texts over an open vocabulary.
@@ -9,13 +10,13 @@ Both factors are normalised, so scores are log probabilities of whole texts over
 Model. P(symbol | u, v) is log-bilinear in the two symbols before: exp((C1[v] + C2[u]) . R[symbol] + b[symbol]) / Z(u, v).
 It is trained by noise-contrastive estimation on every training document: each task takes one pass over its documents
 with noise drawn from the symbol shares (shared per batch, so gradients are matrix products) from a common start, and
-the tasks' parameters are averaged by token counts; ``ROUNDS`` rounds repeat this from the average (two gain a third
+steps touch only the rows of the batch's symbols, so their cost does not grow with the vocabulary; the tasks' parameters are averaged by token counts; ``ROUNDS`` rounds repeat this from the average (two gain a third
 more over the base score than one). Z for all pairs of
-context symbols comes from batched matrix products once; scoring then only looks up tables.
+context symbols comes from one matrix product on the driver; scoring then only looks up tables.
 
 Scale: word counts are pre-aggregated per task. Counts of the ``LOOKUP_WORDS`` most frequent words are broadcast (bounded);
 documents carry only their other words to a join with the full counts, so frequent words never move. Parameters are
-bounded by the vocabulary (about 100 kB); what a task reports does not grow with its input.
+bounded by the vocabulary (about 400 kB, and 38 MB for the normalisers); what a task reports does not grow with its input.
 
 Defined results: null and empty texts are scored as the end token alone; a null doc_id counts as training (its crc32 is
 null); repeated rows count and score on their own; an empty training set scores every token as unseen; extra columns
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 
 from critica.llm.common import bytes_list, heaviest, read, stored, with_row_id
 
-TOP_WORDS = 255
+TOP_WORDS = 2047
+LEAST_WORDS = 255
+MIN_COUNT = 100  # training tokens from which a word has vectors of its own
 SUFFIXES = 128
 SUFFIX = 3
 DIM = 16
@@ -115,7 +118,8 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = heaviest(counts.where(F.length("word") <= MAX_LOOKUP_BYTES), "c", LOOKUP_WORDS).collect()
     lookup = sorted(((bytes(r.word), r.c) for r in top), key=lambda x: (-x[1], x[0]))
-    words = [w for w, _ in lookup if w != END][:TOP_WORDS] + [END]
+    ranked = [(w, c) for w, c in lookup if w != END][:TOP_WORDS]
+    words = [w for i, (w, c) in enumerate(ranked) if i < LEAST_WORDS or c >= MIN_COUNT] + [END]
     own = F.col("word").isin([bytearray(w) for w in words])
     by_ending = counts.where(~own).groupBy(F.substring("word", -SUFFIX, SUFFIX).alias("e")).agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
@@ -157,13 +161,17 @@ class NceTrainer:
         self.log_noise = np.log(NOISE * shares).astype(np.float32)
         self.seen = 0
 
-    def add_rows(self, grad, at, rows, size):
-        """Sum of rows per symbol."""
+    def descend(self, k, at, rows, size):
+        """AdaGrad step of parameter ``k`` by the sums of rows per symbol; other symbols stay as they are."""
         np = self.np
         order = np.argsort(at, kind="stable")
         sorted_at = at[order]
         heads = np.flatnonzero(np.append(True, sorted_at[1:] != sorted_at[:-1]))
-        grad[sorted_at[heads]] += np.add.reduceat(rows[order], heads, axis=0)
+        g = np.add.reduceat(rows[order], heads, axis=0) / np.float32(size)
+        ids = sorted_at[heads]
+        squares = self.g2[k][ids] + g * g
+        self.g2[k][ids] = squares
+        self.p[k][ids] -= RATE * g / np.sqrt(squares)
 
     def step(self, u, v, w):
         """One batch: context symbols u (two before), v (one before), and the observed symbols w."""
@@ -176,17 +184,12 @@ class NceTrainer:
         gp = 1 / (1 + np.exp(-pos)) - 1  # d loss / d score of the observed symbols
         gn = 1 / (1 + np.exp(-neg))  # of the noise symbols
         gq = gp[:, None] * rw + gn @ p["r"][noise]
-        grads = {k: np.zeros_like(x) for k, x in p.items()}
-        self.add_rows(grads["c1"], v, gq, n)
-        self.add_rows(grads["c2"], u, gq, n)
-        self.add_rows(grads["r"], w, gp[:, None] * q, n)
-        np.add.at(grads["r"], noise, gn.T @ q)
-        grads["b"] += np.bincount(w, gp, minlength=len(p["b"])).astype(np.float32)
-        np.add.at(grads["b"], noise, gn.sum(axis=0))
-        for k, g in grads.items():
-            g /= n
-            self.g2[k] += g * g
-            p[k] -= RATE * g / np.sqrt(self.g2[k])
+        both, steps = np.concatenate([w, noise]), np.concatenate([gp, gn.sum(axis=0)])
+        targets = np.concatenate([gp[:, None] * q, gn.T @ q])
+        self.descend("c1", v, gq, n)
+        self.descend("c2", u, gq, n)
+        self.descend("r", both, targets, n)
+        self.descend("b", both, steps, n)
         self.seen += n
 
 
@@ -255,7 +258,7 @@ def learn_marked(trainer, symbols, np):
 class Scorer:
     """Tables of log10 P(symbol | u, v): pair products and the normaliser of every context."""
 
-    def __init__(self, params):
+    def __init__(self, params, z=None):
         import numpy as np
 
         p = {k: v.astype(np.float64) for k, v in params.items()}
@@ -263,6 +266,9 @@ class Scorer:
         self.size = size
         self.one = p["c1"] @ p["r"].T + p["b"]  # (v, w)
         self.two = p["c2"] @ p["r"].T  # (u, w)
+        if z is not None:
+            self.z = z
+            return
         top = self.one.max(axis=1)
         e1 = np.exp(self.one - top[:, None])
         high = self.two.max(axis=1)
@@ -281,14 +287,14 @@ SCORED = ("rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known
 
 def score_texts(docs: DataFrame, vocabulary: Vocabulary, params) -> DataFrame:
     """SCORED rows of (rid, doc_id, held_out, text): sums without the words that the lookup table does not hold."""
-    shipped = docs.sparkSession.sparkContext.broadcast((vocabulary.plain, params))
+    shipped = docs.sparkSession.sparkContext.broadcast((vocabulary.plain, params, Scorer(params).z))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        plain, p = shipped.value
-        vocab, scorer = Vocabulary(*plain), Scorer(p)
+        plain, p, z = shipped.value
+        vocab, scorer = Vocabulary(*plain), Scorer(p, z)
         inner = vocab.inner()
         words_of = list(vocab.lookup)
         index = {w: i for i, w in enumerate(words_of)}

@@ -50,6 +50,23 @@ def test_rare_words_by_join_give_the_same(spark, monkeypatch):
     assert {(r.doc_id, round(r.base_score, 6), r.n_known) for r in M.lm_scores(frame(spark, data)).collect()} == a
 
 
+def test_the_vocabulary_follows_the_counts(spark):
+    words = prose(11, 1500).split()
+    data = [(w.encode(), c) for w, c in {w: 400 - i // 4 for i, w in enumerate(dict.fromkeys(words))}.items()]
+    counts = spark.createDataFrame([(bytearray(w), c) for w, c in [*data, (M.END, 50)]], "word binary, c bigint")
+    v = M.build_vocabulary(counts)
+    want = [w for w, c in data if c >= M.MIN_COUNT][:M.TOP_WORDS]
+    assert len(want) > 1000 and set(v.word_symbol) == {*want, M.END}
+
+
+def test_steps_touch_the_symbols_of_the_batch_only():
+    v, p = tiny()
+    t = M.NceTrainer(p, v.weights() / v.weights().sum(), 1)
+    t.step(np.array([0, 0]), np.array([1, 1]), np.array([2, 3]))
+    assert (t.p["c1"] != p["c1"]).any(axis=1).nonzero()[0].tolist() == [1]
+    assert (t.p["c2"] != p["c2"]).any(axis=1).nonzero()[0].tolist() == [0]
+
+
 def tiny():
     v = M.Vocabulary([b"a", b"b", M.END], [b"ing", b"ed"], [(b"a", 9), (b"b", 4), (M.END, 3)],
                      {0: (9, 1), 1: (4, 1), 2: (3, 1), 3: (6, 2), 4: (2, 1), 5: (5, 5)}, 29, 11)
