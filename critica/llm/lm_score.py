@@ -116,7 +116,9 @@ class Vocabulary:
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
     """Vocabulary from the stored counts; only bounded tables reach the driver."""
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = heaviest(counts.where(F.length("word") <= MAX_LOOKUP_BYTES), "c", LOOKUP_WORDS).collect()
+    is_end = F.col("word") == F.lit(END)
+    top = heaviest(counts.where(~is_end & (F.length("word") <= MAX_LOOKUP_BYTES)), "c", LOOKUP_WORDS).collect()
+    top += counts.where(is_end).collect()  # whatever the cutoff: the end token never goes to the join
     lookup = sorted(((bytes(r.word), r.c) for r in top), key=lambda x: (-x[1], x[0]))
     ranked = [(w, c) for w, c in lookup if w != END][:TOP_WORDS]
     words = [w for i, (w, c) in enumerate(ranked) if i < LEAST_WORDS or c >= MIN_COUNT] + [END]

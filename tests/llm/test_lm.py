@@ -50,6 +50,18 @@ def test_rare_words_by_join_give_the_same(spark, monkeypatch):
     assert {(r.doc_id, round(r.base_score, 6), r.n_known) for r in M.lm_scores(frame(spark, data)).collect()} == a
 
 
+def test_the_end_token_is_known_below_the_cutoff(spark, monkeypatch):
+    monkeypatch.setattr(M, "LOOKUP_WORDS", 20)
+    data = [(i, " ".join(prose(5, 60).split() * 4), "en", "s", 0, *["x"] * 6) for i in range(6)]  # every word outnumbers END
+    train = [r for r in data if not held(r[0])]
+    c = Counter(w for r in train for w in [*raw(r[1]).lower().split(), M.END])
+    total, distinct = sum(c.values()), len(c)
+    for r in M.lm_scores(frame(spark, data)).collect():
+        tokens = [*raw(data[r.doc_id][1]).lower().split(), M.END]
+        assert r.n_known == len(tokens)
+        assert abs(r.base_score - sum(math.log10((c[t] + 0.5) / (total + 0.5 * (distinct + 1))) for t in tokens)) < 1e-6
+
+
 def test_the_vocabulary_follows_the_counts(spark):
     words = prose(11, 1500).split()
     data = [(w.encode(), c) for w, c in {w: 400 - i // 4 for i, w in enumerate(dict.fromkeys(words))}.items()]
