@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from critica.llm.chat_format import OP12_SQL, op12_chat_formatting
+from critica.llm.conversation_repair import OP13_SQL, op13_conversation_repair
 from critica.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from critica.llm.html_extract import op2_html_extraction
 from critica.llm.line_dedup import op3_line_dedup
@@ -12,6 +14,7 @@ from critica.llm.quality import OP4_SQL, op4_quality_rules
 from critica.llm.sharding import op5_ring_sharding
 from critica.llm.simhash_dedup import op6_simhash_near_dedup
 from critica.llm.token_count import op10_token_counts
+from critica.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
@@ -24,9 +27,14 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_chat_formatting": op12_chat_formatting,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE = {
     "op4_quality_rules": OP4_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op12_chat_formatting": OP12_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
