@@ -4,15 +4,18 @@ A page is cut into leaf blocks (text between block-level tags) with their tag pa
 tag-path tokens (tags, classes, ids, roles), hashed words, and a few shape features. A bidirectional LSTM in numpy reads
 the leaves of the whole page in both directions and labels each one as main text or not.
 
-The labeller is trained on the driver from a bounded sample of ``TRAIN_PAGES`` pages, drawn by hash of page id and url.
+The labeller is trained on the driver from a bounded sample of ``TRAIN_PAGES`` distinct pages, drawn by hash of their html
+and parsed in tasks; of a long page one run of blocks with at most ``TRAIN_CHARS`` characters is drawn, from anywhere in it.
 Its labels come from mark-up that says so itself (article or main, against navigation, footers, asides, forms, notices,
 adverts and comments by tag or name); hint features are masked at random and blocks of other kinds are inserted while
 training, so that words, shape and neighbourhood carry weight too. Pages are then labelled where they are read, in
 batches of similar length and bounded size; every page is read whole, a very long one by itself with running states.
 
 Defined results: null, empty and tag-only pages give an empty text; repeated rows and null page_ids are kept as they
-are; unclosed tags end with their parent, a truncated last tag is text of nobody; an empty table gives an empty result;
-extra columns are ignored.
+are; unclosed tags end with their parent; an unclosed svg ends where a block begins or ends; only an unclosed script,
+style, textarea or title runs to the end of the page; a < that begins no tag is text; a truncated last tag is text of
+nobody; the text of math, object and noscript elements belongs to the block they stand in; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from critica.llm.common import read
 
 TRAIN_PAGES = 160
-TRAIN_CHARS = 200_000  # longer pages are left out of the training sample only
+TRAIN_CHARS = 200_000  # characters of one page in the training sample
 TRAIN_BLOCKS = 96  # training sequences are cut into pieces of so many blocks
 EPOCHS = 24
 MIN_STEPS = 240  # small samples are read more often
@@ -36,13 +39,18 @@ CHUNK = 1024  # positions whose input products are held at a time while labellin
 
 # Elements by how they take part in text
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+                   "small span strike strong sub sup time tt u var wbr math noscript object param picture source ruby rt rp "
+                   "rb rtc meter progress output slot "
+                   "mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub "
+                   "msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction "
+                   "semantics annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template svg math iframe object select textarea title head".split())
+SILENT = frozenset("script style template svg iframe select textarea title".split())
+TO_THE_END = frozenset("script style textarea title".split())  # where the end tag is missing
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 MAIN = frozenset("article main articlebody entry-content post-content post-body story".split())
-ASIDE = frozenset("nav footer header aside form button menu dialog fieldset figcaption advert advertisement ad ads promo "
+ASIDE = frozenset("nav footer header aside form button menu dialog fieldset advert advertisement ad ads promo "
                   "sponsor sponsored banner cookie cookies consent notice popup modal newsletter subscribe subscription "
                   "sidebar widget related recommended share social breadcrumb breadcrumbs pagination pager comment "
                   "comments comment-list reply disqus login signup search masthead copyright navigation navbar "
@@ -50,6 +58,10 @@ ASIDE = frozenset("nav footer header aside form button menu dialog fieldset figc
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'=])*+)>|<[!?/][^>]*>",
                  re.S)
+OPENS = re.compile(r"<[a-zA-Z/!?]")
+# tags of blocks, which a drawing cannot hold
+LEAVES_SVG = re.compile(r"</svg\s*>|</?(?:p|div|article|section|main|aside|nav|header|footer|body|html|h[1-6]|ul|ol|li|dl|dt|dd|"
+                        r"table|tr|td|th|tbody|thead|blockquote|pre|figure|figcaption|form|address|hr)\b", re.I)
 NAMES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
@@ -61,6 +73,7 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     cut = page.rfind(">") + 1
     at, in_link = 0, 0
+    never_ends = set()  # silent elements without a further end tag
 
     def flush():
         nonlocal linked
@@ -79,6 +92,19 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             if in_link:
                 linked += len(piece.strip())
 
+    def after_silent(name, tag):
+        """Where the page goes on after an element whose text does not count."""
+        if name == "svg":
+            if tag[0].endswith("/>"):
+                return tag.end()
+            end = LEAVES_SVG.search(page, tag.end())
+            return tag.end() if end is None else end.end() if end[0][:5].lower() == "</svg" else end.start()
+        end = None if name in never_ends else re.compile(rf"</{name}\s*>", re.I).search(page, tag.end())
+        if end:
+            return end.end()
+        never_ends.add(name)
+        return len(page) if name in TO_THE_END else tag.end()
+
     while at < cut:
         m = TAG.search(page, at, cut)
         if m is None:
@@ -94,6 +120,9 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
             elif name == "br":
                 text.append(" ")
             continue
+        if name in SILENT and not m[1] and name != "title":
+            at = after_silent(name, m)
+            continue
         flush()
         in_link = 0
         if m[1]:
@@ -102,9 +131,8 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                     del stack[k:]
                     break
             continue
-        if name in SILENT and name != "head":
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+        if name in SILENT:
+            at = after_silent(name, m)
             continue
         if stack and stack[-1][0] == "p":
             stack.pop()
@@ -118,8 +146,8 @@ def leaves(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                     for word in "".join(groups).lower().split():
                         tokens += [word, *(x for x in re.split(r"[^a-z0-9]+", word) if x and x != word)]
             stack.append((name, tuple(tokens)))
-    if at <= cut:
-        add(page[at:] if "<" not in page[at:] else page[at:page.index("<", at)])
+    last = OPENS.search(page, at)
+    add(page[at:last.start()] if last else page[at:])
     flush()
     return found
 
@@ -315,10 +343,14 @@ def augmented(blocks, labels, rng):
 
 def train(pages: list[str], seed: int = 3):
     """Parameters of the labeller from whole sample pages."""
+    return train_blocks([(b, weak_labels(b)) for b in map(leaves, pages) if b], seed)
+
+
+def train_blocks(parsed, seed: int = 3):
+    """Parameters of the labeller from (blocks, labels) of sample pages."""
     import numpy as np
 
     rng = np.random.default_rng(seed)
-    parsed = [p for p in map(leaves, pages) if p]
     width = PATH_SLOTS + WORD_SLOTS + 9
     params = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in {
         "wx_f": (width, 4 * HIDDEN), "wh_f": (HIDDEN, 4 * HIDDEN), "wx_b": (width, 4 * HIDDEN), "wh_b": (HIDDEN, 4 * HIDDEN),
@@ -331,8 +363,8 @@ def train(pages: list[str], seed: int = 3):
     while parsed and (epoch < EPOCHS or step < MIN_STEPS):
         epoch += 1
         pieces = []
-        for blocks in parsed:
-            b, y = augmented(blocks, weak_labels(blocks), rng)
+        for blocks, labels in parsed:
+            b, y = augmented(blocks, labels, rng)
             x = vectors(b)
             if rng.random() < 0.1:  # hide the hints of a whole page
                 x[:, -2:] = 0
@@ -364,19 +396,58 @@ def train(pages: list[str], seed: int = 3):
     return params
 
 
+def run_of_blocks(blocks, labels, chars: int, at: float):
+    """A run of blocks with at most ``chars`` characters (at least one block, cut to them) from the place ``at`` in [0, 1)."""
+    start = 0 if sum(len(b[0]) for b in blocks) <= chars else int(at * len(blocks))
+    end, held = start, 0
+    while end < len(blocks) and (end == start or held + len(blocks[end][0]) <= chars):
+        held += len(blocks[end][0])
+        end += 1
+    return [(text[:chars], path, links) for text, path, links in blocks[start:end]], labels[start:end]
+
+
+def training_sample(pages: DataFrame, train_pages: int = TRAIN_PAGES):
+    """(blocks, labels) of at most ``train_pages`` distinct pages with blocks, from a table with a column html.
+
+    Pages are drawn by hash of their html, so copies count once whatever their ids; the draw widens until it holds enough
+    pages or all of them.
+    """
+    def run(batches):
+        import json
+
+        import pyarrow as pa
+
+        for batch in batches:
+            hashes, found = [], []
+            for h, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                blocks = leaves(html)
+                if blocks:
+                    hashes.append(h)
+                    found.append(json.dumps(run_of_blocks(blocks, weak_labels(blocks), TRAIN_CHARS, (h & 0xFFFF) / 65536)))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.string())], ["h", "found"])
+
+    h = F.xxhash64("html")
+    real = pages.select(h.alias("h"), "html").where(F.col("html").isNotNull() & (F.col("html") != ""))
+    every = max(1, real.agg(F.approx_count_distinct("h").alias("n")).first().n // (2 * train_pages))
+    while True:
+        drawn = real.where(F.pmod(F.col("h"), F.lit(every)) == 0)
+        some = drawn.mapInArrow(run, "h bigint, found string").dropDuplicates(["h"])
+        rows = some.orderBy("h").limit(train_pages).collect()  # top-k per task, then of the tasks
+        if len(rows) == train_pages or every == 1:
+            break
+        every = max(1, every // 8)
+    import json
+
+    return [([(t, tuple(path), links) for t, path, links in blocks], labels)
+            for blocks, labels in (json.loads(r.found) for r in rows)]
+
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                       train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``."""
     spark = pages.sparkSession
     p = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
-    # a bounded sample, drawn by hash; only the drawn pages reach the driver
-    every = max(1, p.count() // (2 * train_pages))
-    h = F.xxhash64("page_id", "url")
-    drawn = (p.where((F.pmod(h, F.lit(every)) == 0) & (F.length("html") <= TRAIN_CHARS)).select(h.alias("h"), "html")
-             .limit(4 * train_pages).collect())
-    sample = [html for _, html in sorted((r.h, r.html) for r in drawn)[:train_pages]]
-    shipped = spark.sparkContext.broadcast(train(sample))
+    shipped = spark.sparkContext.broadcast(train_blocks(training_sample(p, train_pages)))
     kind = dict(p.dtypes)["page_id"]
 
     def run(batches):

@@ -73,6 +73,50 @@ def test_blocks_of_malformed_markup():
     assert H.leaves("") == [] and H.leaves("<script>x</script><!-- y") == [] and H.leaves("plain")[0][0] == "plain"
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<p>before <svg/> after</p><p>more text</p>", ["before after", "more text"]),
+    ("<p>a <svg><path d='x'>t</svg> b <svg><g> c</p><p>d</p>", ["a b", "d"]),
+    ("<p>one</p>1 < 2 is true and this is the tail", ["one", "1 < 2 is true and this is the tail"]),
+    ("<p>x <math><mi>a</mi><mo>+</mo></math> y <object data=q>alt</object> <noscript>ns</noscript> z</p>", ["x a+ y alt ns z"]),
+    ("<p>a<object data=q/> b <math/> c</p><p>d</p>", ["a b c", "d"]),
+    ("<p>u<script>var a='</p>'</script> v<style>p{}</style> w</p><template>t</template><p>z", ["u v w", "z"]),
+    ("<p>a<template>never closed</p><p>b<iframe>c</p>", ["anever closed", "bc"]),
+    ("x<script>never", ["x"]), ("a < b > c", ["a < b > c"]), ("<p>cut <a hre", ["cut"]), ("<title>t</title>z", ["z"]),
+])
+def test_no_text_is_lost(html, want):
+    assert [b[0] for b in H.leaves(html)] == want
+
+
+def test_captions_and_formulas_belong_to_the_article(params):
+    for i in range(300, 310):
+        html, want = page(i, SHELLS[0])
+        more = f"<figure><img src=x><figcaption>{prose(i, 12)}.</figcaption></figure><p>{prose(i + 1, 9)} <math><mi>x</mi></math> end.</p>"
+        blocks = H.leaves(html.replace("</article>", more + "</article>"))
+        labels = H.label(params, [H.vectors(blocks)])[0]
+        assert "\n".join(b[0] for b, keep in zip(blocks, labels) if keep) == f"{want}\n{prose(i, 12)}.\n{prose(i + 1, 9)} x end."
+
+
+def test_many_unclosed_elements_take_linear_time():
+    import time
+
+    began = time.time()
+    assert len(H.leaves("<p>a<template>b<iframe>c" * 60_000)) == 60_000
+    assert time.time() - began < 20
+
+
+def test_sample_of_repeated_long_and_few_pages(spark):
+    rows = [(None, None, page(1)[0], "", "")] * 300 + [(1, "u", page(i)[0], "", "") for i in range(2, 8)]
+    long = "<article>" + "".join(f"<p>{prose(k, 40)}.</p>" for k in range(2000)) + "</article>"
+    rows += [(9, "long", long, "", ""), (10, "block", "<main>" + "y" * 500_000 + "</main>", "", ""), (11, "none", "<p></p>", "", "")]
+    sample = H.training_sample(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert len(sample) == 9  # distinct pages with blocks, whatever their ids
+    assert all(len(b) == len(y) > 0 and sum(len(t) for t, _, _ in b) <= H.TRAIN_CHARS for b, y in sample)
+    assert len(H.training_sample(spark.createDataFrame(rows, SCHEMA), 4)) == 4
+    assert H.training_sample(spark.createDataFrame([(1, "u", "", "", ""), (1, "u", None, "", "")], SCHEMA)) == []
+    blocks, labels = H.run_of_blocks([(f"{k}" * 10, (), 0.0) for k in range(100)], list(range(100)), 50, 0.5)
+    assert labels == [50, 51] and [b[0] for b in blocks] == ["50" * 10, "51" * 10]
+
+
 def test_gradients_by_differences():
     import numpy as np
 
