@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import read
+from critica.llm.common import let, read
 
 # Control strings of common chat formats, which no text may bring into the output
 COMMON_CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>",
@@ -69,11 +69,6 @@ class Template:
         return F.regexp_replace(text, rf"([{firsts}])\\", "$1")
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value evaluated once, however often the body or its lambdas use it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def conversation_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                        text: str = "text", *more: str) -> DataFrame:
     """(conv_id, more, turns): the rows of each conversation as an array of (turn, role, text) in order."""

@@ -57,6 +57,11 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def let(value, body):
+    """``body(value)`` with the value evaluated once, however often the body or its lambdas use it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def words_array(text):
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as an array; empty for null, empty and blank texts."""
     t = F.btrim(F.coalesce(text, F.lit("")), F.lit(WS_CHARS))
@@ -79,6 +84,28 @@ def worker_store() -> dict:
     return m.data
 
 
+def slices(batch, text: int | None = None, rows: int = 1024, size: int = 4 << 20):
+    """Slices of an Arrow batch of at most ``rows`` rows and ``size`` bytes in column ``text`` (a longer value alone).
+
+    Python objects are made for a slice at a time, so their memory does not grow with the batch.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if text is None:
+        yield from (batch.slice(a, rows) for a in range(0, batch.num_rows, rows))
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(text).cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+    upto = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = int(upto[at - 1]) if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(upto, before + size, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def bytes_list(column):
     """Values of an Arrow string or binary column as UTF-8 bytes, null as empty."""
     import pyarrow as pa

@@ -10,7 +10,8 @@ most 3^5 patterns per kind) estimates the labelers' reliabilities, its posterior
 (Spark ML on the aggregated patterns), and the classifier decides which candidates are added. Valid strict matches
 always stay; added spans never overlap them.
 
-Text offsets come from splitting a text at its matches, in code points. Patterns repeat possessively where nothing can
+Text offsets come from splitting a text at its matches, in code points, by running sums in chunks; overlaps are found
+from spans sorted by place; so a text takes time linear in its matches, but for the sort. Patterns repeat possessively where nothing can
 be given back and start at run borders only, so long runs cost linear time and no deep recursion.
 
 Defined results: null and empty texts have no spans (base_sha256 of the empty string); repeated rows and null doc_ids
@@ -24,12 +25,13 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import read, stored
+from critica.llm.common import let, read, stored
 
 KINDS = ("email", "ip", "card", "phone")
 EM_ROUNDS = 25
 ACCEPT = 0.9
 CONTEXT = 32
+CHUNK = 256  # values folded at a time
 
 # strict patterns: the same matches as the plain forms
 #   [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+     [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)
@@ -63,29 +65,78 @@ SPAN_TYPE = "array<struct<start:int,end:int,txt:string,before:string,after:strin
 CAND_FIELDS = "kind:string,start:int,end:int,base:boolean," + ",".join(f"{v}:int" for v in VOTES)
 
 
-def matches(text, pattern: str, guard):
-    """Matches with code-point offsets and their surroundings, from the pieces between them."""
+def running(values, op, start: int):
+    """Running results of an associative ``op`` with neutral element ``start`` over an array of integers.
+
+    A fold that appends copies its array at every step, so values are folded in chunks and the chunks' results carried on:
+    the work is linear in the values, times a constant.
+    """
+    zero, none = F.lit(start).cast("int"), F.array().cast("array<int>")
+    last = lambda acc: F.get(acc, F.size(acc) - 1)
+
+    def fold(v):
+        return F.aggregate(v, none, lambda acc, x: F.concat(acc, F.array(op(F.coalesce(last(acc), zero), x))))
+
+    def carry(parts):
+        before = F.aggregate(parts, F.array(zero), lambda acc, p: F.concat(acc, F.array(op(last(acc), last(p)))))
+        return let(before, lambda b: F.flatten(F.transform(parts, lambda p, k: F.transform(p, lambda x: op(b[k], x)))))
+
+    def whole(v):
+        chunks = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / CHUNK).cast("int"))
+        return let(F.transform(chunks, lambda k: fold(F.slice(v, k * CHUNK + 1, CHUNK))), carry)
+
+    return let(values, lambda v: F.when(F.size(v) > 0, whole(v)).otherwise(none))
+
+
+def matches(text, pattern: str, guard, worth=None):
+    """Matches with code-point offsets and their surroundings, from the pieces between them; ``worth`` picks some of them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
     def offsets(m, p):
-        n = F.size(m)
-        rows = F.zip_with(F.zip_with(F.slice(p, 1, n), m, lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-                          F.slice(p, 2, n), lambda ab, c: F.struct(
-                              F.length(ab["a"]).alias("skip"), F.length(ab["b"]).alias("len"), ab["b"].alias("txt"),
-                              F.right(ab["a"], F.lit(CONTEXT)).alias("before"), F.left(c, F.lit(1)).alias("after")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN_TYPE).alias("out"))
+        ends = running(F.zip_with(F.slice(p, 1, F.size(m)), m, lambda a, b: F.length(a) + F.length(b)), lambda a, b: a + b, 0)
+
+        def placed(e):
+            at = F.sequence(F.lit(0), F.size(m) - 1)
+            return F.transform(F.filter(at, lambda i: worth(m[i])) if worth else at, lambda i: F.struct(
+                (e[i] - F.length(m[i])).alias("start"), e[i].alias("end"), m[i].alias("txt"),
+                F.right(p[i], F.lit(CONTEXT)).alias("before"), F.left(p[i + 1], F.lit(1)).alias("after")))
 
-        def step(acc, x):
-            s = acc["at"] + x["skip"]
-            return F.struct((s + x["len"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
-                s.alias("start"), (s + x["len"]).alias("end"), x["txt"].alias("txt"), x["before"].alias("before"),
-                x["after"].alias("after")))).alias("out"))
+        return let(ends, placed)
 
-        return F.aggregate(rows, start, step, lambda acc: acc["out"])
+    bound = let(found, lambda m: F.when(F.size(m) > 0, let(F.split(text, pattern, -1), lambda p: offsets(m, p))))
+    return F.coalesce(F.when(guard, bound), F.array()).cast(SPAN_TYPE)
 
-    bound = F.transform(F.array(found), lambda m: F.when(
-        F.size(m) > 0, offsets(m, F.split(text, pattern, -1))))
-    return F.coalesce(F.when(guard, bound[0]), F.array().cast(SPAN_TYPE))
+
+def clear_of(spans, blocking, same):
+    """The ``spans`` (structs with start and end) that overlap none of ``blocking`` and equal none of ``same`` in place.
+
+    All are sorted by place once. A span overlaps an earlier one if the largest end so far is beyond its start, and a
+    later one if the least start to come is before its end: two running passes instead of comparing all pairs. Spans of
+    ``same`` have different starts.
+    """
+    far = 2 ** 31 - 1
+
+    def rows(found, tag):
+        return F.transform(found, lambda s, i: F.struct(s["start"].alias("start"), F.lit(tag).alias("tag"),
+                                                        s["end"].alias("end"), i.alias("at")))
+
+    def picked(r):
+        ends = F.transform(r, lambda x: F.when(x["tag"] == 0, x["end"]).otherwise(0))
+        starts = F.reverse(F.transform(r, lambda x: F.when(x["tag"] == 0, x["start"]).otherwise(far)))
+
+        def free(until, since):
+            def alone(i):
+                x, y = r[i], F.get(r, i - 1)
+                equal = (y["tag"] == 1) & (y["start"] == x["start"]) & (y["end"] == x["end"])
+                return (x["tag"] == 2) & (until[i] <= x["start"]) & (since[i] >= x["end"]) & ~F.coalesce(equal, F.lit(False))
+
+            return F.transform(F.filter(F.sequence(F.lit(0), F.size(r) - 1), alone), lambda i: spans[r[i]["at"]])
+
+        return let(running(ends, F.greatest, 0), lambda until: let(
+            F.reverse(running(starts, F.least, far)), lambda since: free(until, since)))
+
+    return F.when((F.size(spans) == 0) | ((F.size(blocking) == 0) & (F.size(same) == 0)), spans).otherwise(
+        let(F.sort_array(F.concat(rows(blocking, 0), rows(same, 1), rows(spans, 2))), picked))
 
 
 def digits(s):
@@ -164,10 +215,6 @@ def candidates_of(kind: str, spans, strict: bool):
     return F.transform(spans, row).cast(f"array<struct<{CAND_FIELDS}>>")
 
 
-def overlaps(a, b):
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, cands) of (doc_id, text): candidates of all kinds in the order of kind and start."""
     t = F.coalesce(F.col("text"), F.lit(""))
@@ -179,20 +226,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     wide = {"email": spelled & (F.col("t").rlike(r"[\[({] ?(?:dot|DOT|\.) ?[\])}]| dot ")),
             "ip": num & F.col("t").rlike(r"[0-9][\[(](?:\.|dot)"), "card": num & F.col("t").rlike("[0-9]{4}[ ._/-]?[0-9]{4}"),
             "phone": num & F.col("t").rlike("[0-9]{3}[ .-]?[0-9]{4}|00[1-9]")}
-    found = marks.select("doc_id", *[matches(F.col("t"), STRICT[k], guards[k]).alias(f"s_{k}") for k in KINDS],
+    # digit runs far from a card number are no candidates
+    worth = {"card": lambda s: F.length(digits(s)) >= 13}
+    found = marks.select("doc_id", *[matches(F.col("t"), STRICT[k], guards[k], worth.get(k)).alias(f"s_{k}") for k in KINDS],
                          *[matches(F.col("t"), WIDE[k], wide[k]).alias(f"w_{k}") for k in KINDS])
 
     def of_kind(k):
         strict, loose = F.col(f"s_{k}"), F.col(f"w_{k}")
         # a strict match that fails its check may have run on into neighbouring digits: look inside it
-        fresh = F.filter(loose, lambda w: ~F.exists(strict, lambda s: overlaps(s, w) & (
-            strict_check(k, s["txt"]) | ((s["start"] == w["start"]) & (s["end"] == w["end"])))))
-        both = F.concat(candidates_of(k, F.filter(strict, lambda s: worth(k, s["txt"])), True),
-                        candidates_of(k, fresh, False))
-        return F.sort_array(both)
-
-    def worth(k, txt):  # digit runs far from a card number are no candidates
-        return F.length(digits(txt)) >= 13 if k == "card" else F.lit(True)
+        fresh = clear_of(loose, F.filter(strict, lambda s: strict_check(k, s["txt"])), strict)
+        return F.sort_array(F.concat(candidates_of(k, strict, True), candidates_of(k, fresh, False)))
 
     return found.select("doc_id", F.concat(*[of_kind(k) for k in KINDS]).alias("cands"))
 
@@ -273,7 +316,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ac
     base = F.filter("cands", lambda c: c["base"])
     added = F.filter("cands", lambda c: ~c["base"] & good(c))
     split = found.select("doc_id", base.alias("base"), added.alias("added"))
-    free = F.filter("added", lambda a: ~F.exists("base", lambda b: overlaps(a, b)))
+    free = clear_of(F.col("added"), F.col("base"), F.array().cast(f"array<struct<{CAND_FIELDS}>>"))
     order = F.transform(F.concat("base", free), lambda c: F.struct(
         F.array_position(F.array(*[F.lit(k) for k in KINDS]), c["kind"]).alias("k"), c["start"].alias("start"),
         c["end"].alias("end"), c["kind"].alias("kind"), c["base"].alias("base")))

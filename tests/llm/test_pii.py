@@ -84,6 +84,52 @@ def test_classifier_accepts_plausible_additions(spark):
     assert got[3] == [("ip", 23, 31), ("phone", 5, 22)]  # the strict phone ran on into the address and failed
 
 
+def test_running_results(spark):
+    rows = [(i, [(i * 7 + k * k) % 23 - 11 for k in range(n)]) for i, n in enumerate((0, 1, 2, 255, 256, 257, 1000))]
+    got = spark.createDataFrame(rows, "i int, v array<int>").select(
+        "v", P.running(P.F.col("v"), lambda a, b: a + b, 0).alias("s"), P.running(P.F.col("v"), P.F.greatest, -99).alias("g")).collect()
+    import itertools
+
+    for r in got:
+        assert list(r.s) == list(itertools.accumulate(r.v)) and list(r.g) == list(itertools.accumulate(r.v, max))
+
+
+def test_clear_spans_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(4)
+
+    def spans(n, apart):
+        out, at = [], 0
+        for _ in range(n):
+            at += rng.randrange(apart)
+            end = at + rng.randrange(1, 9)
+            out.append((at, end))
+            at = end
+        return out
+
+    rows = [(spans(rng.randrange(30), 6), spans(rng.randrange(30), 6), spans(rng.randrange(30), 6)) for _ in range(60)]
+    kind = "array<struct<start:int,end:int>>"
+    for r in spark.createDataFrame(rows, f"a {kind}, b {kind}, c {kind}").select(
+            "*", P.clear_of(P.F.col("a"), P.F.col("b"), P.F.col("c")).alias("free")).collect():
+        want = [x for x in r.a if not any(x.start < y.end and y.start < x.end for y in r.b) and x not in r.c]
+        assert sorted(r.free) == sorted(want)
+
+
+def test_texts_with_very_many_numbers(spark):
+    import time
+
+    texts = [" ".join(str(100000 + i) for i in range(120_000)), "a@b.co " * 30_000, "4111 1111 1111 1111, " * 20_000,
+             "10.0.0.1 10.[.]0.0.1 " * 10_000]
+    df = frame(spark, [(i, t, "en", "s", 0, *["x"] * 6) for i, t in enumerate(texts)])
+    P.find_pii(frame(spark)).count()
+    for i, t in enumerate(texts):
+        began = time.time()
+        got = P.find_pii(df.where(f"doc_id = {i}")).select(P.spelled(P.F.col("base")).alias("b")).first().b
+        assert time.time() - began < 20
+        assert got == ",".join(f"{k}:{a}:{b}" for k, a, b in slow_base(t))
+
+
 def test_native_plan(spark):
     plan = P.candidates(frame(spark).select("doc_id", "text"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
