@@ -7,10 +7,12 @@ law is ``rows`` - and keys that overflow a full shard continue clockwise to the
 All cells of an arc between two tokens see the same clockwise order of shards, so the overflow is settled on the counts
 per arc (at most shards x virtual nodes numbers): hop by hop, each arc hands its remaining keys to the next shard. Keys
 then find their shard from their rank within the arc, which is a prefix count per cell plus a rank inside the cell.
-Nothing is ever ordered in one place: cells are ranked in parallel, and only arc counts reach the driver.
+Nothing is ever ordered in one place: cells are ranked in parallel, and only arc counts reach the driver. A cell with more
+than ``CELL_ROWS`` rows (a doc_id or a group of copies that repeats very often) is dealt by hash of size, crc32 and stored
+row into pieces that are ranked on their own, each behind the counts of those before it.
 
 Defined results: a null text has size 8 and crc32 0; null doc_ids hash by size and crc32; rows with equal doc_id keep
-separate slots; ties are ordered by size, crc32 and stored row; an empty table gives an empty result; extra columns are
+separate slots; ties are ordered by size, crc32 and stored row (inside the pieces of a split cell); an empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -27,6 +29,7 @@ from critica.llm.common import read, stored, with_row_id
 SHARDS = 24
 VIRTUAL_NODES = 64
 CELLS = 16_384
+CELL_ROWS = 100_000  # rows of one cell that are ordered in one piece
 
 
 def ring_tokens(shards: int, virtual_nodes: int = VIRTUAL_NODES, cells: int = CELLS) -> list[tuple[int, int]]:
@@ -105,10 +108,18 @@ def ring_shards(rows: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRT
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
     pieces = _table(spark, settle(counts, tokens, capacity), "arc, lo, hi, shard, slot_base")
 
-    inside = W.partitionBy("cell").orderBy("h", "doc_id", "size", "text_crc32", "rid")
-    ranked = (placed.withColumn("r", F.row_number().over(inside) - 1)
-              .join(F.broadcast(ring.select("cell", "arc", "before")), "cell")  # at most ``cells`` rows
-              .withColumn("r", F.col("r") + F.col("before")))
+    most = max(CELL_ROWS, total // 10_000)  # so there are at most 10,000 more pieces than cells
+    size = F.greatest(F.lit(1), F.ceil(F.col("n") / most))
+    dealt = (placed.join(F.broadcast(ring.select("cell", "arc", "n", "before")), "cell")  # at most ``cells`` rows
+             .withColumn("sub", F.when(size > 1, F.pmod(F.xxhash64("size", "text_crc32", "rid"), size)).otherwise(F.lit(0))))
+    inside = W.partitionBy("cell", "sub").orderBy("h", "doc_id", "size", "text_crc32", "rid")
+    ranked = dealt.withColumn("r", F.row_number().over(inside) - 1 + F.col("before"))
+    if total and ring.agg(F.max("n").alias("n")).first().n > most:
+        skip = W.partitionBy("p_cell").orderBy("p_sub").rowsBetween(W.unboundedPreceding, -1)  # bounded: one row per piece
+        parts = (dealt.where(F.col("n") > most).groupBy(F.col("cell").alias("p_cell"), F.col("sub").alias("p_sub"))
+                 .agg(F.count(F.lit(1)).alias("k")).withColumn("skip", F.coalesce(F.sum("k").over(skip), F.lit(0))).drop("k"))
+        ranked = (ranked.join(F.broadcast(parts), (F.col("cell") == F.col("p_cell")) & (F.col("sub") == F.col("p_sub")), "left")
+                  .withColumn("r", F.col("r") + F.coalesce("skip", F.lit(0))))
     return (ranked.join(F.broadcast(pieces.withColumnRenamed("arc", "p_arc")),
                         (F.col("arc") == F.col("p_arc")) & (F.col("r") >= F.col("lo")) & (F.col("r") < F.col("hi")))
             .withColumn("shard", F.col("shard").cast("int"))
