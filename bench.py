@@ -44,8 +44,9 @@ def main() -> None:
     from critica.operators.index import dense_index
     from critica.operators.interactions import interactions
     from critica.operators.quality import run_suite
-    from critica.operators.recommend import (AlsParams, bounded_candidates, index_interactions, map_back,
-                                             popular_unseen_top_n, train_als, unseen_top_n)
+    from critica.operators.pruned_topn import pruned_top_n
+    from critica.operators.recommend import AlsParams, index_interactions, map_back, popular_unseen_top_n, train_als
+    from critica.plans.recommender import model_factors
     from critica.operators.split import hash_split
     from critica.sources.tables import reviews_view
 
@@ -126,9 +127,7 @@ def main() -> None:
     model = timed("als_fit", lambda: train_als(train, params))
 
     def topn():
-        n_items = item_map.count()
-        cands = bounded_candidates(model, als_data.select("user_idx", "item_idx"), 10, n_items)
-        top = unseen_top_n(cands, als_data, 10)
+        top = pruned_top_n(*model_factors(model), als_data.select("user_idx", "item_idx"), 10)
         recs = map_back(top, user_map, item_map, tables["dim_users"], "2024-01-01 00:00:00")
         recs.write.mode("overwrite").parquet(f"{scratch}/recs")
         return spark.read.parquet(f"{scratch}/recs").count()

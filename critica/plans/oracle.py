@@ -246,6 +246,18 @@ select steamid, appid, case when {split_sql()} < 800 then 'train' else 'test' en
 ORACLE["topn_unseen"] = with_ctes(*KEPT, POP_SQL, TOPN_SQL) + """
 select steamid, appid, rank::bigint as rank, score from topn"""
 
+_UF = [f"(user_id * {p} % 17 - 4)" for p in (3, 7, 11, 19, 23, 31, 43, 59)]
+_IF = [f"((item_id * {p} % 13 - 3) * (1 + item_id % 9))" for p in (5, 15, 17, 29, 37, 41, 47, 53)]
+ORACLE["pruned_topn"] = with_ctes(*KEPT, f"""
+seen as materialized (select steamid::bigint as user_id, appid::bigint as item_id from inter),
+u as materialized (select user_id, {", ".join(f"{x} as u{k}" for k, x in enumerate(_UF))} from (select distinct user_id from seen)),
+i as materialized (select item_id, {", ".join(f"{x} as i{k}" for k, x in enumerate(_IF))} from (select distinct item_id from seen)),
+scored as (
+  select user_id, item_id, ({" + ".join(f"u{k} * i{k}" for k in range(8))})::double as score
+  from u cross join i where (user_id, item_id) not in (select user_id, item_id from seen)),
+ranked as (select *, row_number() over (partition by user_id order by score desc, item_id) as rank from scored)""") + """
+select user_id, item_id, score, rank from ranked where rank <= 10"""
+
 ORACLE["ranking_metrics"] = with_ctes(*KEPT, SPLIT_SQL) + """,
 tpop as (
   select appid, row_number() over (order by pop desc, appid asc) as pos

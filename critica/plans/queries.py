@@ -278,22 +278,43 @@ def q_als_recommend(spark, sf_dir):
 
 @query("als_shape")
 def q_als_shape(spark, sf_dir):
-    """What factorisation cannot change: with the model refitted on all interactions every user gets
+    """What factorisation cannot change, at the job's own parameters: with the model refitted on all interactions every user gets
     min(10, unseen items) rows, and no row breaks an invariant (seen item, rank out of range or repeated, score
     rising with rank)."""
     from critica.operators.interactions import interactions
-    from critica.operators.recommend import AlsParams
     from critica.plans.recommender import recommendation_invariants, run_recommender
     kept = kept_once(spark, sf_dir)
     users = users_of(kept)
-    recs = materialized(run_recommender(kept, users, GENERATED_AT, top_n=10, evaluate=False, refit_on_all=True,
-                                        params=AlsParams(rank=8, max_iter=2)).recommendations, "recs")
+    recs = materialized(run_recommender(kept, users, GENERATED_AT, top_n=10, evaluate=False, refit_on_all=True)
+                        .recommendations, "recs")
     seen = interactions(kept).join(users.select("steamid", "user_sk"), "steamid").select("user_sk", "appid")
     broken = recommendation_invariants(recs, seen, 10).groupBy("user_sk").agg(F.count(F.lit(1)).alias("b"))
     return (recs.groupBy("user_sk").agg(F.count(F.lit(1)).alias("n_rows")).join(broken, "user_sk", "left")
             .select("user_sk", "n_rows", F.coalesce("b", F.lit(0)).cast("bigint").alias("n_breaks")))
 
 
+def fixed_factors(inter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Integer factors made from the ids of users and items, so inner products are the same in every engine; the norms of
+    items differ by a factor of nine."""
+    user, item = F.col("steamid").cast("bigint"), F.col("appid").cast("bigint")
+    users = inter.select(user.alias("user_id")).distinct().withColumn("features", F.array(
+        *[(F.col("user_id") * p % 17 - 4).cast("double") for p in (3, 7, 11, 19, 23, 31, 43, 59)]))
+    items = inter.select(item.alias("item_id")).distinct().withColumn("features", F.array(
+        *[((F.col("item_id") * p % 13 - 3) * (1 + F.col("item_id") % 9)).cast("double") for p in (5, 15, 17, 29, 37, 41, 47, 53)]))
+    return users, items
+
+
+@query("pruned_topn")
+def q_pruned_topn(spark, sf_dir):
+    """The ten best unseen items of every user by inner products, with blocks of items left out by their norm;
+    equal to scoring every item."""
+    from critica.operators.pruned_topn import pruned_top_n
+    inter = interactions_once(spark, sf_dir)
+    users, items = fixed_factors(inter)
+    seen = inter.select(F.col("steamid").cast("bigint").alias("user_id"), F.col("appid").cast("bigint").alias("item_id"))
+    return pruned_top_n(users, items, seen, 10, "user_id", "item_id").drop("n_scored")
+
+
 def popular_candidates(inter: DataFrame, top_n: int = 10) -> DataFrame:
     """(steamid, appid, score): per user the top_n + (own seen items) most popular items - enough to fill top_n after
     the seen ones are removed, and no more."""
