@@ -12,8 +12,8 @@ document. An item whose shingles are spread over distant windows is found if any
 The search runs where the documents are read; nothing of them is shuffled. The item index is broadcast in blocks of at
 most about ``BLOCK_BYTES`` of text: a larger benchmark takes more passes, not a larger broadcast.
 
-Defined results: items with fewer than five words have no shingle and match nothing; null and empty texts match
-nothing; repeated items count once; repeated rows and null doc_ids give their own rows; empty tables give empty
+Defined results: an item with fewer than five words is one shingle, its whole word sequence; items without words match
+nothing; null and empty texts match nothing; repeated items count once; repeated rows and null doc_ids give their own rows; empty tables give empty
 results; extra columns are ignored.
 """
 
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read
+from critica.llm.common import bytes_list, read, slices
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -69,14 +69,19 @@ class ItemIndex:
         self.a, self.c = hash_functions()
         self.ids, self.sets, self.by_hash = [], [], {}
         self.tiny: dict[int, list[int]] = {}
+        self.brief: dict[int, dict[bytes, list[int]]] = {}  # number of words -> items of fewer words than a shingle
         sketches: dict[int, list] = {}
         for item_id, raw in items:
             words = raw.lower().split()
-            h = np.unique(shingle_hashes(words, size))
-            if not len(h):
+            if not words:
                 continue
             k = len(self.ids)
             self.ids.append(item_id)
+            if len(words) < size:
+                self.sets.append({b" ".join(words)})
+                self.brief.setdefault(len(words), {}).setdefault(b" ".join(words), []).append(k)
+                continue
+            h = np.unique(shingle_hashes(words, size))
             self.sets.append({b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)})
             if len(h) <= TINY:
                 for x in h.tolist():
@@ -87,6 +92,8 @@ class ItemIndex:
                 u *= 2
             sketches.setdefault(u, []).append((k, [int(((h * a + c) >> np.uint64(32)).min())
                                                    for a, c in zip(self.a, self.c)]))
+        self.brief_hashes = {n: np.unique(np.concatenate([shingle_hashes(x.split(b" "), n) for x in by]))
+                             for n, by in self.brief.items()}
         self.tiny_hashes = np.array(sorted(self.tiny), np.uint64)
         # per class and function: sorted minima, and the items behind each
         self.classes = {}
@@ -135,6 +142,14 @@ class ItemIndex:
                     found.update((int(doc[p]), k) for k in owners[int(window[p])])
         return found
 
+    def brief_items(self, words: list[bytes]):
+        """Items of fewer words than a shingle that the document holds: by hash, then by the words themselves."""
+        found = set()
+        for n, by in self.brief.items():
+            for p in _among(shingle_hashes(words, n), self.brief_hashes[n]).nonzero()[0].tolist():
+                found.update(by.get(b" ".join(words[p:p + n]), ()))
+        return sorted(found)
+
     def shared(self, words: list[bytes], items: list[int]):
         """Exact number of distinct item shingles that the document holds, per item."""
         size = self.size
@@ -149,6 +164,8 @@ class ItemIndex:
         for at, raw in enumerate(raws):
             w = raw.lower().split()
             h = shingle_hashes(w, self.size)
+            if self.brief:
+                out += [(at, k, 1) for k in self.brief_items(w)]
             part.append((at, h))
             words.append(w)
             total += len(h)
@@ -204,7 +221,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             index = ItemIndex(shipped.value, size, threshold)
             names = ["doc_id", "item_id", "n_shingles", "n_shared", "containment"]
             kinds = [pa.int64()] * 4 + [pa.float64()]
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, 1)):
                 ids = batch.column(0).to_pylist()
                 rows = [(ids[d], index.ids[k], len(index.sets[k]), s, s / len(index.sets[k]))
                         for d, k, s in index.search(bytes_list(batch.column(1)))]
@@ -228,7 +245,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
             import pyarrow as pa
 
             index = ItemIndex(shipped.value, size, threshold)
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, at)):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[d for d, _, _ in index.search(bytes_list(batch.column(at)))]] = False
                 yield batch.filter(pa.array(keep))
@@ -250,10 +267,13 @@ b as (
          'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from benchmark),
 bs as (select distinct item_id, array_to_string(w[i:i + 4], ' ') as s
        from (select item_id, w, unnest(range(1, len(w) - 3)) as i from b where len(w) >= 5)),
+brief as (select item_id, ' ' || array_to_string(w, ' ') || ' ' as s from b where len(w) between 1 and 4),
 n as (select item_id, count(*) as n_shingles from bs group by item_id),
 ds as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s
        from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from d where len(w) >= 5)),
 hit as (select doc_id, item_id, count(*) as n_shared from ds join bs using (s) group by doc_id, item_id)
 select doc_id, item_id, n_shingles, n_shared, n_shared::double / n_shingles as containment
 from hit join n using (item_id) where n_shared >= 0.8::double * n_shingles
+union all
+select doc_id, item_id, 1, 1, 1.0::double from d join brief on contains(' ' || array_to_string(w, ' ') || ' ', s)
 """

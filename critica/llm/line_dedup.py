@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read, stored
+from critica.llm.common import bytes_list, free_name, let, read, slices, stored
 
 DEPTH = 3
 SIMILARITY = 0.8
@@ -61,7 +61,7 @@ def line_rows(docs: DataFrame, texts: bool, depth: int = DEPTH) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             rows = []
             for doc_id, digest, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                            bytes_list(batch.column(2))):
@@ -155,7 +155,7 @@ def templates(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         import pyarrow as pa
 
         leaf, tree, held = None, None, None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 4)):
             rows = []
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for at, key, n, docs, masked in zip(*columns):
@@ -214,6 +214,14 @@ def shortest_passages(lines, least: int = PASSAGE_TOKENS):
             for a, b in sorted(found) if a < b]
 
 
+def list_rows(column, *fields):
+    """Lists of tuples of the named fields of an Arrow column of lists of structs, read from the child arrays."""
+    offsets = column.offsets.to_pylist()  # of a slice: into the whole child array
+    children = [column.values.field(f).slice(offsets[0], offsets[-1] - offsets[0]).to_pylist() for f in fields]
+    rows = list(zip(*children))
+    return (rows[a - offsets[0]:b - offsets[0]] for a, b in zip(offsets, offsets[1:]))
+
+
 LINES = "array<struct<pos:int,seq:int,weight:int,template:bigint,lone:boolean>>"
 
 
@@ -222,11 +230,11 @@ def passage_rows(runs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
-            for doc_id, digest, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                lines = [(x["pos"], x["seq"], x["weight"], x["template"]) for x in found]
-                rows += [(doc_id, digest, *p) for p in shortest_passages(lines)]
+            for doc_id, digest, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                             list_rows(batch.column(2), "pos", "seq", "weight", "template")):
+                rows += [(doc_id, digest, *p) for p in shortest_passages(found)]
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
@@ -241,17 +249,19 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
-            for doc_id, digest, lines, spans in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for doc_id, digest, lines, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                                    list_rows(batch.column(2), "pos", "lone"),
+                                                    list_rows(batch.column(3), "start", "end")):
                 gone, at, until = [], 0, -1
-                spans = sorted((x["start"], x["end"]) for x in spans)
-                for x in lines:
-                    while at < len(spans) and spans[at][0] <= x["pos"]:
+                spans.sort()
+                for pos, lone in lines:
+                    while at < len(spans) and spans[at][0] <= pos:
                         until = max(until, spans[at][1])
                         at += 1
-                    if x["lone"] or x["pos"] <= until:
-                        gone.append(x["pos"])
+                    if lone or pos <= until:
+                        gone.append(pos)
                 if gone:
                     rows.append((doc_id, digest, gone))
             columns = list(zip(*rows)) if rows else [[]] * 3
@@ -298,28 +308,46 @@ def dropped_lines(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMIL
                                                               F.collect_list("span").alias("spans")))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-               similarity: float = SIMILARITY, chance_tokens: int = CHANCE_TOKENS) -> DataFrame:
-    """``docs`` with (n_lines, n_dropped, kept_text) added: the text without its dropped lines."""
+def _deduped(docs: DataFrame, id_col: str, text_col: str, depth: int, similarity: float, chance_tokens: int):
+    """(docs with three columns added, their names): number of lines, number of dropped lines, text without them."""
+    names = {c: free_name(docs, c) for c in ("n_lines", "n_dropped", "kept_text", "k_id", "k_digest", "k_gone")}
     digest = F.xxhash64(F.col(text_col))
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), digest.alias("digest"),
                          F.col(text_col).cast("string").alias("text"))
     dropped = dropped_lines(narrow, depth, similarity, chance_tokens).select(
-        F.col("doc_id").alias("k_id__"), F.col("digest").alias("k_digest__"), F.col("dropped").alias("k_dropped__"))
-    joined = docs.join(dropped, F.col(id_col).cast("bigint").eqNullSafe(F.col("k_id__"))
-                       & (digest == F.col("k_digest__")), "left")
+        F.col("doc_id").alias(names["k_id"]), F.col("digest").alias(names["k_digest"]), F.col("dropped").alias(names["k_gone"]))
+    joined = docs.join(dropped, F.col(id_col).cast("bigint").eqNullSafe(F.col(names["k_id"]))
+                       & (digest == F.col(names["k_digest"])), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    gone = F.col("k_dropped__")
+    gone = F.col(names["k_gone"])
 
     def without(all_lines):
         kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone)
         return F.array_join(F.transform(kept, lambda i: all_lines[i]), "\n")
 
-    kept = F.when(gone.isNull(), F.col(text_col)).otherwise(F.transform(F.array(lines), without)[0])
+    kept = F.when(gone.isNull(), F.col(text_col)).otherwise(let(lines, without))
     return joined.select(*docs.columns,
-                         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias("n_lines"),
-                         F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias("n_dropped"),
-                         kept.alias("kept_text"))
+                         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("bigint").alias(names["n_lines"]),
+                         F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias(names["n_dropped"]),
+                         kept.alias(names["kept_text"])), names
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
+               similarity: float = SIMILARITY, chance_tokens: int = CHANCE_TOKENS) -> DataFrame:
+    """``docs`` with (n_lines, n_dropped, kept_text) added: the text without its dropped lines. A name that ``docs``
+    has already gets underscores."""
+    return _deduped(docs, id_col, text_col, depth, similarity, chance_tokens)[0]
+
+
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
+                         depth: int = DEPTH, similarity: float = SIMILARITY, chance_tokens: int = CHANCE_TOKENS) -> DataFrame:
+    """``docs`` with its own columns, the text without its dropped lines; ``chars_col``, if there, follows a changed text."""
+    out, names = _deduped(docs, id_col, text_col, depth, similarity, chance_tokens)
+    kept = F.col(names["kept_text"])
+    chars = F.when(F.col(names["n_dropped"]) > 0, F.length(kept))
+    return out.select(*[kept.alias(c) if c == text_col
+                        else F.coalesce(chars.cast(docs.schema[c].dataType), F.col(c)).alias(c) if c == chars_col
+                        else F.col(c) for c in docs.columns])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

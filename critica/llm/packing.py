@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read, stored, with_row_id, worker_store
+from critica.llm.common import bytes_list, read, slices, stored, with_row_id, worker_store
 
 LIMIT = 1024
 END_ID = 2
@@ -70,7 +70,7 @@ def token_pieces(docs: DataFrame, json_path: str, limit: int = LIMIT, end_id: in
         end = end_id.to_bytes(4, "little")
         fields = ["rid", "doc_id", "piece", "start", "length", "ids_crc32"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             rows = []
             for rid, doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                         bytes_list(batch.column(2))):

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from critica.llm.common import bytes_list, read, stored, with_row_id
+from critica.llm.common import bytes_list, free_name, read, slices, stored, with_row_id
 from critica.llm.graph import connected_components
 
 SHINGLE = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            fps = [fingerprint(raw, shingle) for raw in bytes_list(batch.column(2))]
+            fps = [fingerprint(raw, shingle) for part in slices(batch, 2) for raw in bytes_list(part.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
                                              ["rid", "doc_id", "fp"])
 
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                      F.col(text_col).cast("string").alias("text")))
     marked = stored(fingerprints(narrow, shingle), "fingerprints")
     groups = stored(simhash_groups(marked, max_bits), "groups")
-    first = groups.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    first = stored(groups.groupBy("root").agg(F.min("first_id").alias("component_id")), "first-ids")
     by_fp = groups.join(first, "root").select("fp", "component_id")
     return (marked.join(by_fp, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
@@ -245,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                          max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` with one row left of each component: the smallest doc_id (nulls last), one of its rows."""
-    rid = "rid__"
+    rid = free_name(docs, "rid__")
     keyed = stored(with_row_id(docs, rid), "docs")
     narrow = keyed.select(F.col(rid).alias("rid"), F.col(id_col).cast("bigint").alias("doc_id"),
                           F.col(text_col).cast("string").alias("text"))

@@ -17,20 +17,26 @@ def brute(docs, items):
         held = shingles(text)
         for k, item in set(items):
             s = shingles(item)
-            if s and len(s & held) >= 0.8 * len(s):
+            few = raw(item).lower().split()
+            if few and not s:
+                if b" ".join([b"", *few, b""]) in b" ".join([b"", *raw(text).lower().split(), b""]):
+                    out.append((d, k, 1, 1, 1.0))
+            elif s and len(s & held) >= 0.8 * len(s):
                 out.append((d, k, len(s), len(s & held), len(s & held) / len(s)))
     return sorted(out)
 
 
 def cases():
     items = [(1, prose(11, 30)), (2, prose(12, 60)), (3, prose(13, 5)), (4, "too short"), (5, None), (6, prose(14, 8)),
-             (7, prose(15, 300)), (1, prose(11, 30))]
+             (7, prose(15, 300)), (1, prose(11, 30)), (8, "Zebra"), (9, "one two three four"), (10, "four  one"), (11, " \n"),
+             (12, "TOO short")]
     long = prose(20, 20000).split()
     w = dict((k, t.split()) for k, t in items if t)
     edited = [*w[2][:30], "changed", *w[2][31:]]
     docs = [" ".join(long[:9000] + w[1] + long[9000:]), " ".join(long[:50] + edited + long[50:100]),
             " ".join(w[3]).upper(), " ".join(w[1][:20] + long[:100]), " ".join(long[:10] + w[6] + w[7] + long[10:30]),
-            " ".join(w[7][:250]), None, "", prose(30, 500), " ".join(w[1][:15] + w[1][15:])]
+            " ".join(w[7][:250]), None, "", prose(30, 500), " ".join(w[1][:15] + w[1][15:]),
+            "too\tSHORT", "ends in too short", "tootoo short shorts", "a zebra's zebra", "one two three four one two three"]
     return [(i, t) for i, t in enumerate(docs)], items
 
 
