@@ -9,11 +9,10 @@ quality stage; extra columns pass through the first four stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from critica.llm.common import read, stored
 from critica.llm.decontaminate import drop_contaminated
-from critica.llm.line_dedup import line_dedup
+from critica.llm.line_dedup import drop_recurring_lines
 from critica.llm.packing import best_fit_packing
 from critica.llm.quality import keep_quality
 from critica.llm.simhash_dedup import drop_near_duplicates
@@ -26,11 +25,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: lines of recurring templates go, but for their first occurrence; n_chars follows the new text."""
-    out = line_dedup(docs)
-    kept = F.col("kept_text").alias("text")
-    columns = [kept if c == "text" else F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(docs.schema[c].dataType))
-               .otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*columns)
+    return drop_recurring_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
