@@ -113,8 +113,16 @@ stg as (
 )"""
 
 
+# steps that later ones read several times: DuckDB would otherwise compute them again for every use
+SHARED = ("reviews_v", "dedup", "filt", "feat", "sent", "scored")
+
+
 def with_ctes(*ctes: str) -> str:
-    return "with " + ",\n".join(c.strip() for c in ctes)
+    sql = ",\n".join(c.strip() for c in ctes)
+    for name in SHARED:
+        sql = sql.replace(f"{name} as (", f"{name} as materialized (", 1) if sql.startswith(f"{name} as (") \
+            else sql.replace(f"\n{name} as (", f"\n{name} as materialized (", 1)
+    return "with " + sql
 
 
 PLAIN = [REVIEWS_SQL, DEDUP_SQL, FILTER_SQL]
@@ -452,3 +460,108 @@ from ev group by steamid, appid, dt"""
 ORACLE["silver_stage_counts"] = with_ctes(REVIEWS_SQL, DEDUP_SQL, FILTER_SQL) + """
 select (select count(*) from reviews_v) as n_raw, (select count(*) from dedup) as n_dedup,
        (select count(*) from filt) as n_filtered, (select sum(length(review)) from reviews_v)::bigint as raw_text_chars"""
+
+
+# ---- sinks and readers: each table as it is written and read back ------------------------------------------------
+ORACLE["dim_users_readback"] = with_ctes(*PLAIN, USERS_SQL) + """
+select steamid, user_sk from users"""
+
+ORACLE["dim_games_view"] = ORACLE["dim_games"]
+
+ORACLE["staging_load"] = with_ctes(*SCORED) + """
+select recommendationid, steamid, appid, date_trunc('year', dt)::date as dt, length(review)::bigint as n_chars, review_length,
+       playtime_bucket, round(sentiment_score, 6) as sentiment_score, sentiment_label from scored"""
+
+ORACLE["fact_write"] = with_ctes(*SCORED, FACT_SQL) + """
+select * replace (date_trunc('year', dt)::date as dt, round(sentiment_score, 6) as sentiment_score) from fact
+where year(dt) % 2 = 1"""
+
+ORACLE["export_readback"] = with_ctes(*KEPT) + """
+select steamid, appid, round(rating, 6) as rating from inter"""
+
+ORACLE["bronze_flatten_day"] = with_ctes(REVIEWS_SQL) + """
+select recommendationid, steamid, appid, date '2024-01-01' as dt, votes_up, timestamp_updated from reviews_v"""
+
+ORACLE["items_preview"] = with_ctes(*KEPT, POP_SQL) + """
+select appid, pop, r from pop where r <= 20"""
+
+ORACLE["python_scorer"] = f"""
+with s as (select doc_id, least(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '!', '')), 10) / 10.0
+             - least(length(coalesce(text, '')) - length(replace(coalesce(text, ''), '?', '')), 10) / 10.0 as score from documents)
+select doc_id, round(score, 6) as sentiment_score,
+       case when score >= {fx.POS_THRESHOLD!r} then 'pos' when score <= {fx.NEG_THRESHOLD!r} then 'neg' else 'neu' end as sentiment_label
+from s"""
+
+# ---- mergeable state: the full build over the table as it ends ---------------------------------------------------
+WEEKLY = """
+weekly as materialized (
+  select * replace (date_trunc('week', dt)::date as dt) from scored where floor(epoch(date_trunc('week', dt)) / 604800)::bigint % 11 <> 3
+)"""
+_WEEK_GAMES, _WEEK_USERS, _WEEK_MART = (x.replace("from filt", "from weekly").replace("from scored", "from weekly")
+                                        for x in (GAMES_SQL, USERS_SQL, MART_SQL))
+ORACLE["state_dim_games"] = with_ctes(*SCORED, WEEKLY, _WEEK_GAMES) + """
+select * replace (round(positive_rate, 6) as positive_rate) from games"""
+ORACLE["state_dim_users"] = with_ctes(*SCORED, WEEKLY, _WEEK_USERS) + """
+select * from users"""
+ORACLE["state_trends"] = with_ctes(*SCORED, WEEKLY, _WEEK_MART) + """
+select * replace (round(positive_rate, 6) as positive_rate, round(avg_sentiment_score, 6) as avg_sentiment_score) from mart"""
+
+ORACLE["rolling_sentiment"] = with_ctes(*SCORED, """
+days as (select appid::bigint as appid, dt, count(*) as n, count(*) filter (where voted_up) as up, sum(sentiment_score) as s,
+                count(sentiment_score) as k
+         from scored where recommendationid is not null and appid is not null group by appid, dt)""") + """
+select appid, dt, sum(n) over w7 as n_7, round(sum(s) over w7 / sum(k) over w7, 6) as avg_sentiment_7,
+       round(sum(up) over w7 / sum(n) over w7, 6) as positive_rate_7, sum(n) over w28 as n_28,
+       round(sum(s) over w28 / sum(k) over w28, 6) as avg_sentiment_28, round(sum(up) over w28 / sum(n) over w28, 6) as positive_rate_28
+from days window w7 as (partition by appid order by dt range between interval 6 days preceding and current row),
+                 w28 as (partition by appid order by dt range between interval 27 days preceding and current row)"""
+
+ORACLE["daily_run"] = with_ctes(*SCORED, """
+halves as materialized (
+  select * replace (case when dt < date '1995-07-01' then date '1995-01-01' else date '1995-07-01' end as dt, appid % 8 as appid)
+  from scored)""",
+    MART_SQL.replace("from scored", "from halves")) + """
+select * replace (round(positive_rate, 6) as positive_rate, round(avg_sentiment_score, 6) as avg_sentiment_score) from mart"""
+
+# ---- joins in time, reconciliation, cubes ------------------------------------------------------------------------
+MONTHS_SQL = """
+months as (select appid, date_trunc('month', dt)::date as month, count(*) as n, count(*) filter (where voted_up) as up
+           from filt group by all)"""
+ORACLE["asof_summary"] = with_ctes(*PLAIN, MONTHS_SQL) + """
+select r.recommendationid, r.appid, r.dt, m.month, m.n as month_reviews, m.up as month_positive
+from filt r asof left join months m on r.appid = m.appid and r.dt - interval 32 days >= m.month"""
+
+ORACLE["interval_matches"] = with_ctes(*PLAIN, """
+spans as (select recommendationid, user_id, a, a + (1 + m % 10) * 86400000000 as b from (
+  select recommendationid, steamid::bigint as user_id, playtime_at_review as m,
+         epoch_us(timestamp '2024-01-01') + (epoch(dt)::bigint // 86400) % 30 * 86400000000 as a from filt))""") + """
+select e.event_id, s.recommendationid from events e join spans s
+on e.user_id = s.user_id and epoch_us(e.ts) >= s.a and epoch_us(e.ts) < s.b"""
+
+ORACLE["load_difference"] = with_ctes(*PLAIN, """
+a as (select dt, recommendationid, appid, votes_up, voted_up from reviews_v),
+b as (select dt, recommendationid, appid, case when appid % 7 = 0 then votes_up + 1 else votes_up end as votes_up, voted_up
+      from filt where appid % 5 <> 0),
+differ as (select dt, recommendationid, appid, votes_up, voted_up, count(*) filter (side = 1) as n_before, count(*) filter (side = 2) as n_after
+  from (select *, 1 as side from a union all select *, 2 as side from b)
+  group by all having count(*) filter (side = 1) <> count(*) filter (side = 2))""") + """
+select *, case when n_before > 0 and n_after > 0 then 'repeated'
+  when (dt, recommendationid) in (select (dt, recommendationid) from a) and (dt, recommendationid) in (select (dt, recommendationid) from b)
+  then 'changed' when n_before > 0 then 'removed' else 'added' end as kind from differ"""
+
+ORACLE["sketch_bounds"] = with_ctes(*PLAIN) + """
+select year(dt)::int as period, count(*) as n_reviews, count(distinct steamid) as n_users, true as users_within,
+       true as q25_within, true as q50_within, true as q90_within from filt group by 1"""
+
+ORACLE["event_sessions"] = """
+with e as (select user_id, ts, value, lag(ts) over (partition by user_id order by ts) as prev from events),
+s as (select *, sum(case when prev is null or ts - prev >= interval 30 minutes then 1 else 0 end)
+               over (partition by user_id order by ts) as k from e)
+select user_id, min(ts) as session_start, max(ts) as last_ts, count(*) as n_events, round(sum(value), 6) as value
+from s group by user_id, k"""
+
+ORACLE["review_cube"] = with_ctes(*FEAT) + """
+select appid, month, playtime_bucket, grouping(appid, month, playtime_bucket)::bigint as level,
+       count(*) as n_reviews, count(*) filter (where voted_up) as n_up, max(votes_up) as max_votes
+from (select *, date_trunc('month', dt)::date as month from feat)
+group by grouping sets ((appid, month, playtime_bucket), (appid, month), (appid), (month, playtime_bucket), ())"""

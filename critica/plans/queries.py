@@ -533,3 +533,263 @@ def q_silver_stage_counts(spark, sf_dir):
     st = stats.get()
     return spark.createDataFrame([(st["n_raw"], st["n_dedup"], st["n_filtered"], st["raw_text_chars"])],
                                  "n_raw bigint, n_dedup bigint, n_filtered bigint, raw_text_chars bigint")
+
+
+# ---------------------------------------------------------------------------------------------------------
+# sinks and readers, each written and read back
+# ---------------------------------------------------------------------------------------------------------
+@query("dim_users_readback")
+def q_dim_users_readback(spark, sf_dir):
+    """The user dimension written in full, its two columns read back."""
+    from critica.session import scratch_path
+    from critica.sources import sinks
+    path = scratch_path(spark, "dim_users")
+    sinks.write_table(users_frame(spark, sf_dir), path)
+    return sinks.read_dim_users(spark, path)
+
+
+@query("dim_games_view")
+def q_dim_games_view(spark, sf_dir):
+    """K6: the game dimension as a named view."""
+    from critica.sources.sinks import materialize
+    materialize(gold.dim_games(stg_frame(spark, sf_dir)), "critica_dim_games", "view")
+    return spark.table("critica_dim_games").withColumn("positive_rate", r6("positive_rate"))
+
+
+def yearly(df: DataFrame) -> DataFrame:
+    return df.withColumn("dt", F.trunc("dt", "year"))
+
+
+@query("staging_load")
+def q_staging_load(spark, sf_dir):
+    """K4: silver loaded into the staging table by day (here: year) with its schema check, texts and all; one year is
+    loaded a second time, which must change nothing."""
+    from critica.schemas import SILVER_SCHEMA
+    from critica.session import scratch_path
+    from critica.sources.sinks import load_staging
+    path = scratch_path(spark, "staging")
+    rows = materialized(yearly(silver_frame(spark, sf_dir)).select(*SILVER_SCHEMA.names), "silver")
+    load_staging(rows, path, SILVER_SCHEMA)
+    load_staging(rows, path, SILVER_SCHEMA, [str(rows.agg(F.min("dt")).first()[0])])
+    return spark.read.schema(SILVER_SCHEMA).parquet(path).select(
+        "recommendationid", "steamid", "appid", "dt", F.length("review").cast("bigint").alias("n_chars"), "review_length",
+        "playtime_bucket", r6("sentiment_score").alias("sentiment_score"), "sentiment_label")
+
+
+@query("fact_write")
+def q_fact_write(spark, sf_dir):
+    """K5: the fact written by day (here: year), clustered by game; then the even years run again without rows, which
+    empties them."""
+    from critica.session import scratch_path
+    from critica.sources import sinks
+    path = scratch_path(spark, "fact")
+    fact = materialized(yearly(gold.fact_reviews(stg_frame(spark, sf_dir))), "fact")
+    sinks.write_fact(fact, path)
+    years = [str(r.dt) for r in fact.select("dt").distinct().collect()]
+    sinks.write_fact(fact.limit(0), path, [y for y in years if int(y[:4]) % 2 == 0])
+    return sinks.read_fact(spark, path).withColumn("sentiment_score", r6("sentiment_score"))
+
+
+@query("export_readback")
+def q_export_readback(spark, sf_dir):
+    """K8: interactions exported as plain snappy Parquet and read back."""
+    from critica.session import scratch_path
+    from critica.sources.sinks import export_parquet
+    path = scratch_path(spark, "export")
+    export_parquet(interactions_frame(spark, sf_dir), path)
+    return spark.read.parquet(path).withColumn("rating", r6("rating"))
+
+
+@query("bronze_flatten_day")
+def q_bronze_flatten_day(spark, sf_dir):
+    """Pages flattened as one run's day; the constant wins over the pages' own dates."""
+    from critica.sources.bronze import pages_from_reviews
+    votes = reviews_view(spark, sf_dir, text=False).withColumn("review", F.col("review_key"))
+    return sv.flatten_reviews(pages_from_reviews(votes), "2024-01-01").select(
+        "recommendationid", "steamid", "appid", "dt", "votes_up", "timestamp_updated")
+
+
+@query("items_preview")
+def q_items_preview(spark, sf_dir):
+    """T4: the first 20 rows of the popularity ranking, as a report shows them."""
+    from critica.operators.recommend import popularity
+    return popularity(interactions_frame(spark, sf_dir)).orderBy("r").limit(20)
+
+
+@query("python_scorer")
+def q_python_scorer(spark, sf_dir):
+    """A scorer that is plain Python code, made once per task, plugged in as an iterator pandas UDF."""
+    from critica.functions.sentiment import add_sentiment, pandas_scorer
+
+    def marks():
+        def score(text):
+            t = text or ""
+            return min(t.count("!"), 10) / 10 - min(t.count("?"), 10) / 10
+        return score
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    s = add_sentiment(docs, "text", scorer=pandas_scorer(marks))
+    return s.select("doc_id", r6("sentiment_score").alias("sentiment_score"), "sentiment_label")
+
+
+# ---------------------------------------------------------------------------------------------------------
+# mergeable state, daily run
+# ---------------------------------------------------------------------------------------------------------
+def refreshed_state(spark, sf_dir):
+    """The daily state (with weeks as days) after two refreshes: first a table with every fifth week missing, every seventh
+    with its votes turned round and every eleventh still there, then the weeks that differ in the final table."""
+    from critica.operators import daily_state
+    from critica.session import scratch_path
+    from critica.sources.versions import Transaction, current
+    week = F.floor(F.unix_date("dt") / 7)
+    stg = materialized(stg_frame(spark, sf_dir).drop("review").withColumn("dt", F.to_date(F.date_trunc("week", "dt")))
+                       .withColumn("week", week), "weekly")
+    root = scratch_path(spark, "gold")
+    turned = F.when(F.col("week") % 7 == 1, ~F.col("voted_up")).otherwise(F.col("voted_up"))
+    weeks = [(str(r.dt), r.week) for r in stg.select("dt", "week").distinct().collect()]  # a short list of dates
+    tx = Transaction(spark, root)
+    daily_state.refresh(tx, stg.where("week % 5 <> 0").withColumn("voted_up", turned), [d for d, _ in weeks])
+    tx.commit()
+    tx = Transaction(spark, root)
+    daily_state.refresh(tx, stg.where("week % 11 <> 3"), [d for d, w in weeks if w % 5 == 0 or w % 7 == 1 or w % 11 == 3])
+    tx.commit()
+    return current(spark, root)
+
+
+@query("state_dim_games")
+def q_state_dim_games(spark, sf_dir):
+    """G3 from the mergeable state after late, edited and emptied days: equal to the full build."""
+    from critica.operators import daily_state
+    return daily_state.dim_games(refreshed_state(spark, sf_dir)).withColumn("positive_rate", r6("positive_rate"))
+
+
+@query("state_dim_users")
+def q_state_dim_users(spark, sf_dir):
+    """G4 from the mergeable state."""
+    from critica.operators import daily_state
+    return daily_state.dim_users(refreshed_state(spark, sf_dir))
+
+
+@query("state_trends")
+def q_state_trends(spark, sf_dir):
+    """G5 from the mergeable state."""
+    from critica.operators import daily_state
+    state = refreshed_state(spark, sf_dir)
+    return daily_state.sentiment_trends(state, daily_state.dim_games(state)).withColumn("positive_rate", r6("positive_rate")) \
+        .withColumn("avg_sentiment_score", r6("avg_sentiment_score"))
+
+
+@query("rolling_sentiment")
+def q_rolling_sentiment(spark, sf_dir):
+    """Sentiment of every game over the 7 and 28 days that end with each of its days, from day partials."""
+    from critica.operators import daily_state
+    r = daily_state.rolling_sentiment(daily_state.game_days(stg_frame(spark, sf_dir).drop("review")))
+    return r.select("appid", "dt", *[c if c.startswith("n_") else r6(c).alias(c) for c in r.columns[2:]])
+
+
+@query("daily_run")
+def q_daily_run(spark, sf_dir):
+    """The daily run over page files, for two days that hold all reviews (before July 1995 and after); the mart as
+    published at the end."""
+    from critica.plans.daily import Paths, read_gold, run_day
+    from critica.session import scratch_path
+    from critica.sources import bronze
+    root = scratch_path(spark, "warehouse")
+    half = F.when(F.col("dt") < F.lit("1995-07-01").cast("date"), F.lit("1995-01-01")).otherwise(F.lit("1995-07-01"))
+    rv = reviews_view(spark, sf_dir)
+    kept = materialized(sv.deduplicate(rv).withColumn("dt", half.cast("date")), "halves")
+    bronze.write_bronze(bronze.pages_from_reviews(kept.withColumn("appid", F.pmod("appid", F.lit(ITEM_GROUPS)).cast("int"))), f"{root}/b")
+    paths = Paths(f"{root}/b", f"{root}/silver", f"{root}/wh")
+    for day in ("1995-01-01", "1995-07-01"):
+        run_day(spark, day, paths, f"{day} 06:00:00", recommend=False, multi_line=False)
+    return read_gold(spark, paths, "mart_game_sentiment_trends").withColumn("positive_rate", r6("positive_rate")) \
+        .withColumn("avg_sentiment_score", r6("avg_sentiment_score"))
+
+
+# ---------------------------------------------------------------------------------------------------------
+# joins in time, reconciliation, cubes, sketches, sessions
+# ---------------------------------------------------------------------------------------------------------
+@query("asof_summary")
+def q_asof_summary(spark, sf_dir):
+    """Every review with the newest monthly summary of its item that began at least 32 days before it."""
+    from critica.operators.timejoin import asof_join
+    kept = kept_once(spark, sf_dir)
+    months = kept.groupBy("appid", F.trunc("dt", "month").alias("month")).agg(
+        F.count(F.lit(1)).alias("month_reviews"), F.count_if(F.col("voted_up")).alias("month_positive"))
+    reviews = kept.select("recommendationid", "appid", "dt", F.date_sub("dt", 32).alias("since"))
+    return asof_join(reviews, months.withColumn("at", F.col("month")), ["appid"], "since", "at",
+                     ["month", "month_reviews", "month_positive"]).drop("since")
+
+
+@query("interval_matches")
+def q_interval_matches(spark, sf_dir):
+    """Events inside the review windows of the same user: the window of a review opens on a day of January 2024 given by
+    its date and lasts one to ten days."""
+    from critica.operators.timejoin import interval_join
+    day = 86_400_000_000
+    begin = F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + F.pmod(F.unix_date("dt"), F.lit(30)) * day
+    spans = kept_reviews(spark, sf_dir).select("recommendationid", F.col("steamid").cast("bigint").alias("user_id"), begin.alias("a"),
+                                               (begin + (1 + F.pmod("playtime_at_review", F.lit(10))) * day).alias("b"))
+    events = read_table(spark, sf_dir, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
+    return interval_join(events, spans, ["user_id"], "t", "a", "b", day).select("event_id", "recommendationid")
+
+
+@query("load_difference")
+def q_load_difference(spark, sf_dir):
+    """Reconciliation of the raw reviews with the kept ones, of which some items are missing and some have other votes."""
+    from critica.operators.reconcile import load_difference
+    columns = ["dt", "recommendationid", "appid", "votes_up", "voted_up"]
+    raw = reviews_view(spark, sf_dir, text=False)
+    after = sv.filter_junk(sv.deduplicate(raw)).where(F.col("appid") % 5 != 0).withColumn(
+        "votes_up", F.when(F.col("appid") % 7 == 0, F.col("votes_up") + 1).otherwise(F.col("votes_up")))
+    return load_difference(raw.select(*columns), after.select(*columns), ["dt", "recommendationid"])
+
+
+@query("review_cube")
+def q_review_cube(spark, sf_dir):
+    """Counts per game, month and play-time bucket with four coarser levels, in one pass."""
+    from critica.operators.cube import review_cube
+    f = sv.add_derived_features(kept_reviews(spark, sf_dir).withColumn("review", F.col("review_key"))).withColumn("month", F.trunc("dt", "month"))
+    keys = ["appid", "month", "playtime_bucket"]
+    return review_cube(f, [keys, ["appid", "month"], ["appid"], ["month", "playtime_bucket"], []], keys)
+
+
+@query("sketch_bounds")
+def q_sketch_bounds(spark, sf_dir):
+    """Distinct users and quantiles of play time per year from merged daily sketches, against exact figures: whether the
+    estimate is within 3 % and each quantile's rank within 2 % (the sketches' bounds are about a third of that)."""
+    from critica.operators.cube import day_sketches, merged_sketches, quantiles
+    kept = kept_once(spark, sf_dir).select("dt", "steamid", "playtime_at_review")
+    shares = (0.25, 0.5, 0.9)
+    got = quantiles(merged_sketches(materialized(day_sketches(kept), "sketches"), F.year("dt")), shares)
+    exact = (kept.groupBy(F.year("dt").alias("period"), "playtime_at_review").agg(F.count(F.lit(1)).alias("c"))
+             .join(got.select("period", *[f"q{round(100 * s)}" for s in shares]), "period").groupBy("period")
+             .agg(F.sum("c").alias("total"), *[F.sum(F.when(F.col("playtime_at_review") < F.col(q), F.col("c")).otherwise(0)).alias(f"{q}_lt")
+                                               for q in ("q25", "q50", "q90")],
+                  *[F.sum(F.when(F.col("playtime_at_review") <= F.col(q), F.col("c")).otherwise(0)).alias(f"{q}_le")
+                    for q in ("q25", "q50", "q90")]))
+    users = kept.select(F.year("dt").alias("period"), "steamid").distinct().groupBy("period").agg(F.count("steamid").alias("n_exact"))
+    close = [((F.col(f"q{round(100 * s)}_lt") <= (s + 0.02) * F.col("total")) & (F.col(f"q{round(100 * s)}_le") >= (s - 0.02) * F.col("total")))
+             .alias(f"q{round(100 * s)}_within") for s in shares]
+    return got.join(users, "period").join(exact, "period").select(
+        "period", F.col("n").alias("n_reviews"), F.col("n_exact").alias("n_users"),
+        (F.abs(F.col("n_users") - F.col("n_exact")) <= 0.03 * F.col("n_exact")).alias("users_within"), *close)
+
+
+@query("event_sessions")
+def q_event_sessions(spark, sf_dir):
+    """Sessions of the events stream (30 minutes apart) that arrives in three drops; every drop is a run of its own that
+    goes on from the checkpoint, and an end mark closes the last sessions."""
+    from critica.session import scratch_path
+    from critica.streaming import sessions as S
+    root = scratch_path(spark, "sessions")
+    fields = [f.split() for f in S.EVENTS.split(", ")]
+    events = read_table(spark, sf_dir, "events").select(*[F.col(n).cast(k) for n, k in fields])
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    third = F.floor(3 * (F.unix_micros("ts") - F.unix_micros(F.lit(span.a))) / (1 + F.unix_micros(F.lit(span.b)) - F.unix_micros(F.lit(span.a))))
+    for k in range(3):
+        events.where(third == k).write.mode("append").parquet(f"{root}/in")
+        if k == 2:
+            S.end_mark(spark, f"{root}/in", span.b, "30 minutes", "10 minutes")
+        S.run_sessions(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=1000)
+    return S.read_sessions(spark, f"{root}/out").withColumn("value", r6("value"))
