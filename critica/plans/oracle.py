@@ -493,17 +493,18 @@ select doc_id, round(score, 6) as sentiment_score,
 from s"""
 
 # ---- mergeable state: the full build over the table as it ends ---------------------------------------------------
-WEEKLY = """
-weekly as materialized (
-  select * replace (date_trunc('week', dt)::date as dt) from scored where floor(epoch(date_trunc('week', dt)) / 604800)::bigint % 11 <> 3
+HALVES = """
+halfmonths as materialized (
+  select * replace (date_trunc('month', dt)::date + case when day(dt) > 15 then 15 else 0 end as dt) from scored
+  where ((year(dt) * 12 + month(dt)) * 2 + (day(dt) > 15)::int) % 11 <> 3
 )"""
-_WEEK_GAMES, _WEEK_USERS, _WEEK_MART = (x.replace("from filt", "from weekly").replace("from scored", "from weekly")
-                                        for x in (GAMES_SQL, USERS_SQL, MART_SQL))
-ORACLE["state_dim_games"] = with_ctes(*SCORED, WEEKLY, _WEEK_GAMES) + """
+_STATE_GAMES, _STATE_USERS, _STATE_MART = (x.replace("from filt", "from halfmonths").replace("from scored", "from halfmonths")
+                                           for x in (GAMES_SQL, USERS_SQL, MART_SQL))
+ORACLE["state_dim_games"] = with_ctes(*SCORED, HALVES, _STATE_GAMES) + """
 select * replace (round(positive_rate, 6) as positive_rate) from games"""
-ORACLE["state_dim_users"] = with_ctes(*SCORED, WEEKLY, _WEEK_USERS) + """
+ORACLE["state_dim_users"] = with_ctes(*SCORED, HALVES, _STATE_USERS) + """
 select * from users"""
-ORACLE["state_trends"] = with_ctes(*SCORED, WEEKLY, _WEEK_MART) + """
+ORACLE["state_trends"] = with_ctes(*SCORED, HALVES, _STATE_MART) + """
 select * replace (round(positive_rate, 6) as positive_rate, round(avg_sentiment_score, 6) as avg_sentiment_score) from mart"""
 
 ORACLE["rolling_sentiment"] = with_ctes(*SCORED, """
@@ -555,7 +556,7 @@ select year(dt)::int as period, count(*) as n_reviews, count(distinct steamid) a
 
 ORACLE["event_sessions"] = """
 with e as (select user_id, ts, value, lag(ts) over (partition by user_id order by ts) as prev from events),
-s as (select *, sum(case when prev is null or ts - prev >= interval 30 minutes then 1 else 0 end)
+s as (select *, sum(case when prev is null or ts - prev > interval 30 minutes then 1 else 0 end)
                over (partition by user_id order by ts) as k from e)
 select user_id, min(ts) as session_start, max(ts) as last_ts, count(*) as n_events, round(sum(value), 6) as value
 from s group by user_id, k"""

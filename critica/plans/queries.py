@@ -636,22 +636,23 @@ def q_python_scorer(spark, sf_dir):
 # mergeable state, daily run
 # ---------------------------------------------------------------------------------------------------------
 def refreshed_state(spark, sf_dir):
-    """The daily state (with weeks as days) after two refreshes: first a table with every fifth week missing, every seventh
-    with its votes turned round and every eleventh still there, then the weeks that differ in the final table."""
+    """The daily state (with half months as days) after two refreshes: first a table with every fifth day missing, every
+    seventh with its votes turned round and every eleventh still there, then the days that differ in the final table."""
     from critica.operators import daily_state
     from critica.session import scratch_path
     from critica.sources.versions import Transaction, current
-    week = F.floor(F.unix_date("dt") / 7)
-    stg = materialized(stg_frame(spark, sf_dir).drop("review").withColumn("dt", F.to_date(F.date_trunc("week", "dt")))
-                       .withColumn("week", week), "weekly")
+    late_half = (F.dayofmonth("dt") > 15).cast("int")
+    number = (F.year("dt") * 12 + F.month("dt")) * 2 + late_half
+    stg = materialized(stg_frame(spark, sf_dir).drop("review").withColumn("k", number)
+                       .withColumn("dt", F.date_add(F.trunc("dt", "month"), 15 * late_half)), "half-months")
     root = scratch_path(spark, "gold")
-    turned = F.when(F.col("week") % 7 == 1, ~F.col("voted_up")).otherwise(F.col("voted_up"))
-    weeks = [(str(r.dt), r.week) for r in stg.select("dt", "week").distinct().collect()]  # a short list of dates
+    turned = F.when(F.col("k") % 7 == 1, ~F.col("voted_up")).otherwise(F.col("voted_up"))
+    days = [(str(r.dt), r.k) for r in stg.select("dt", "k").distinct().collect()]  # a short list of dates
     tx = Transaction(spark, root)
-    daily_state.refresh(tx, stg.where("week % 5 <> 0").withColumn("voted_up", turned), [d for d, _ in weeks])
+    daily_state.refresh(tx, stg.where("k % 5 <> 0").withColumn("voted_up", turned), [d for d, _ in days])
     tx.commit()
     tx = Transaction(spark, root)
-    daily_state.refresh(tx, stg.where("week % 11 <> 3"), [d for d, w in weeks if w % 5 == 0 or w % 7 == 1 or w % 11 == 3])
+    daily_state.refresh(tx, stg.where("k % 11 <> 3"), [d for d, k in days if k % 5 == 0 or k % 7 == 1 or k % 11 == 3])
     tx.commit()
     return current(spark, root)
 

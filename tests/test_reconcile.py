@@ -1,0 +1,45 @@
+from collections import Counter
+
+import pytest
+
+from critica.operators.reconcile import load_difference
+
+SCHEMA = "k int, a string, b double"
+
+
+def rows(df):
+    return sorted(map(str, map(tuple, df.collect())))
+
+
+BEFORE = [(1, "x", 1.0), (1, "x", 1.0), (2, None, None), (3, "gone", 0.0), (4, "old", 1.0), (5, "s", 1.0), (None, "n", 1.0), (6, "", None)]
+AFTER = [(1, "x", 1.0), (2, None, None), (4, "new", 1.0), (5, "s", 1.0), (5, "s", 1.0), (7, "add", 2.0), (None, "n", 2.0), (6, None, None)]
+
+
+def test_kinds(spark):
+    got = load_difference(spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA).select("b", "k", "a"), ["k"])
+    want = [(1, "x", 1.0, 2, 1, "repeated"), (3, "gone", 0.0, 1, 0, "removed"), (4, "old", 1.0, 1, 0, "changed"),
+            (4, "new", 1.0, 0, 1, "changed"), (5, "s", 1.0, 1, 2, "repeated"), (7, "add", 2.0, 0, 1, "added"),
+            (None, "n", 1.0, 1, 0, "changed"), (None, "n", 2.0, 0, 1, "changed"), (6, "", None, 1, 0, "changed"),
+            (6, None, None, 0, 1, "changed")]
+    assert rows(got) == sorted(map(str, want))
+
+
+def test_without_keys_equals_except_all_both_ways(spark):
+    a, b = spark.createDataFrame(BEFORE, SCHEMA), spark.createDataFrame(AFTER, SCHEMA)
+    got = load_difference(a, b).collect()
+    ca, cb = Counter(BEFORE), Counter(AFTER)
+    assert {(r.k, r.a, r.b): (r.n_before, r.n_after) for r in got} == {x: (ca[x], cb[x]) for x in ca | cb if ca[x] != cb[x]}
+    assert {r.kind for r in got if r.n_after == 0} == {"removed"} and {r.kind for r in got if r.n_before == 0} == {"added"}
+    lost = Counter({x: n for x, n in ((tuple(r), 1) for r in a.exceptAll(b).collect()) for _ in range(n)})
+    assert sum(max(r.n_before - r.n_after, 0) for r in got) == sum(lost.values()) == a.exceptAll(b).count()
+
+
+def test_equal_loads_and_a_hot_row(spark):
+    many = spark.createDataFrame([(1, "x", 1.0)] * 5000 + BEFORE, SCHEMA).repartition(7)
+    assert load_difference(many, many, ["k"]).count() == 0
+    (r,) = load_difference(many, many.unionByName(spark.createDataFrame([(1, "x", 1.0)], SCHEMA)), ["k"]).collect()
+    assert (r.n_before, r.n_after, r.kind) == (5002, 5003, "repeated")
+    empty = many.limit(0)
+    assert load_difference(empty, empty).count() == 0 and {r.kind for r in load_difference(empty, many, ["k"]).collect()} == {"added"}
+    with pytest.raises(ValueError):
+        load_difference(many, many.drop("a"))
