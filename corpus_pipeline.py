@@ -16,6 +16,7 @@ from critica.llm.line_dedup import drop_recurring_lines
 from critica.llm.packing import best_fit_packing
 from critica.llm.quality import keep_quality
 from critica.llm.simhash_dedup import drop_near_duplicates
+from critica.session import clean_scratch, scratch_mark
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +53,11 @@ ORACLE_SQL = None  # template trees, XXH64 fingerprints and tokenisation are not
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the whole ``documents`` table."""
+    """All stages in order over the whole ``documents`` table. A stage's intermediate tables go when its result is
+    written, and its input goes with them."""
     docs = read(spark, sf_dir, "documents")
+    mark = scratch_mark()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        clean_scratch(spark, mark, (f"stage-{name}",))
     return docs

@@ -140,20 +140,17 @@ def sentiment_trends(fact: DataFrame, games: DataFrame) -> DataFrame:
     )
 
 
-def incremental_dts(stg: DataFrame, existing_fact: DataFrame | None) -> DataFrame:
-    """Days to rebuild in ``since_max`` mode: every staged dt >= max(dt) of the existing fact; all days when
-    the fact is empty or missing (NULL max means a full build)."""
-    days = stg.select("dt").distinct()
-    if existing_fact is None:
-        return days
-    mx = existing_fact.select(F.max("dt")).scalar()
-    return days.where(mx.isNull() | (F.col("dt") >= mx))
+def newest_day(fact: DataFrame | None):
+    """The newest day of an existing fact, as a date; None if there is no fact or it has no rows. Over a table that is
+    partitioned by dt this reads partition values only."""
+    return None if fact is None else fact.agg(F.max("dt")).first()[0]
 
 
 def fact_incremental(stg: DataFrame, existing_fact: DataFrame | None, key_algo: str = "md5") -> DataFrame:
-    """Fact rows for the days selected by :func:`incremental_dts` (semi join on the small day list)."""
-    days = incremental_dts(stg, existing_fact)
-    return fact_reviews(stg.join(days, "dt", "left_semi"), None, key_algo)
+    """Fact rows of every staged day >= the newest day of the existing fact; all days when there is none (NULL max means
+    a full build). The day is a literal, so a staging table partitioned by dt opens only these folders, once."""
+    newest = newest_day(existing_fact)
+    return fact_reviews(stg if newest is None else stg.where(F.col("dt") >= F.lit(newest)), None, key_algo)
 
 
 def build_gold(stg: DataFrame, key_algo: str = "md5") -> dict[str, DataFrame]:

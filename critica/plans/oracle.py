@@ -566,3 +566,14 @@ select appid, month, playtime_bucket, grouping(appid, month, playtime_bucket)::b
        count(*) as n_reviews, count(*) filter (where voted_up) as n_up, max(votes_up) as max_votes
 from (select *, date_trunc('month', dt)::date as month from feat)
 group by grouping sets ((appid, month, playtime_bucket), (appid, month), (appid), (month, playtime_bucket), ())"""
+
+ORACLE["page_drift"] = with_ctes(REVIEWS_SQL, """
+y as (select year(dt) as year, month(dt) % 2 = 1 as odd, votes_up from reviews_v),
+v as (select year, sum(votes_up)::bigint as votes from y group by year),
+f as (
+  select year, 'recommendationid' as field, 'STRING' as type, count(*) as n, 'known' as status from y group by year
+  union all select year, 'voted_up', 'BOOLEAN', count(*), 'known' from y group by year
+  union all select year, 'votes_up', case when year % 2 = 0 then 'STRING' else 'BIGINT' end, count(*),
+                   case when year % 2 = 0 then 'retyped' else 'known' end from y group by year
+  union all select year, 'badge', 'STRING', count(*), 'unknown' from y where odd group by year)""") + """
+select year::int as year, field, type, n, status, votes from f join v using (year)"""

@@ -794,3 +794,19 @@ def q_event_sessions(spark, sf_dir):
             S.end_mark(spark, f"{root}/in", span.b, "30 minutes", "10 minutes")
         S.run_sessions(spark, f"{root}/in", f"{root}/out", f"{root}/progress", files_per_batch=1000)
     return S.read_sessions(spark, f"{root}/out").withColumn("value", r6("value"))
+
+
+@query("page_drift")
+def q_page_drift(spark, sf_dir):
+    """Reviews as JSON pages whose shape drifts: a field appears in odd months, and in even years votes arrive as strings.
+    The report per year, read from variants, and per year the sum of the votes, which must not suffer."""
+    from critica.sources.drift import drift_report, raw_reviews, typed
+    rv = reviews_view(spark, sf_dir, text=False)
+    shape = [F.to_json(F.struct("recommendationid", F.col("votes_up").cast(kind).alias("votes_up"), "voted_up", *extra))
+             for kind in ("string", "bigint") for extra in ([F.lit("x").alias("badge")], [])]
+    odd, even = F.month("dt") % 2 == 1, F.year("dt") % 2 == 0
+    review = F.when(even & odd, shape[0]).when(even, shape[1]).when(odd, shape[2]).otherwise(shape[3])
+    pages = rv.select(F.year("dt").alias("year"), F.concat(F.lit('{"success":1,"reviews":['), review, F.lit("]}")).alias("value"))
+    raw = raw_reviews(pages, "value", "year")
+    votes = typed(raw, {"votes_up": ("$.votes_up", "bigint")}, "year").groupBy("year").agg(F.sum("votes_up").alias("votes"))
+    return drift_report(raw, "year").join(votes, "year")

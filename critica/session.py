@@ -93,11 +93,7 @@ def materialized(df, name: str):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clean_scratch(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this session (call when no DataFrame over them is in use any more)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables")
-    folder.getFileSystem(conf).delete(folder, True)
+_scratch: list[str] = []  # intermediate tables of this process, oldest first
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -105,4 +101,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def scratch_mark() -> int:
+    """A mark between the intermediate tables made so far and those to come (see :func:`clean_scratch`)."""
+    return len(_scratch)
+
+
+def clean_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the intermediate tables made after the mark ``since``, but those whose folder names begin with one of
+    ``keep``: call when no DataFrame over them is in use any more, for example when a step's result is written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = [p for p in _scratch[since:] if not p.rpartition("/")[2].startswith(tuple(keep) or ("/",))]
+    for p in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(conf).delete(folder, True)
+    _scratch[since:] = [p for p in _scratch[since:] if p not in set(gone)]

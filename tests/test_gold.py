@@ -29,3 +29,28 @@ def test_dim_games_enriched_from_latest_summary(spark):
     assert g[730]["total_reviews"] == 2 and g[730]["total_positive"] == 1 and g[730]["positive_rate"] == 0.5
     mart = gold.build_gold(stg)["mart_game_sentiment_trends"].where(F.col("appid") == 730).first()
     assert mart["negative_reviews"] == 1                          # a NULL vote counts as negative
+
+
+def test_incremental_fact_opens_new_days_only_and_scans_staging_once(spark, tmp):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from critica.operators.gold import fact_incremental, newest_day
+    from critica.schemas import SILVER_SCHEMA
+    from critica.operators.gold import fact_reviews, stg_reviews
+    from conftest import flat_df, review_row
+    from critica.operators.silver import silver
+
+    rows = [review_row(recommendationid=f"r{d}", dt=dt.date(2024, 1, d)) for d in range(1, 6)]
+    silver(flat_df(spark, rows)).select(*SILVER_SCHEMA.names).write.partitionBy("dt").parquet(f"{tmp}/stg")
+    stg = stg_reviews(spark.read.schema(SILVER_SCHEMA).parquet(f"{tmp}/stg"))
+    old = fact_reviews(stg).where(F.col("dt") < "2024-01-04")
+    old.write.partitionBy("dt").parquet(f"{tmp}/fact")
+    fact = spark.read.schema(old.schema).parquet(f"{tmp}/fact")
+    assert newest_day(fact) == dt.date(2024, 1, 3) and newest_day(fact.limit(0)) is None and newest_day(None) is None
+    new = fact_incremental(stg, fact)
+    assert sorted(r.dt.day for r in new.collect()) == [3, 4, 5]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(dt" in plan and "Join" not in plan
+    assert fact_incremental(stg, None).count() == fact_incremental(stg, fact.limit(0)).count() == 5
