@@ -2,12 +2,19 @@
 
 1. Every text becomes one fingerprint where it is read (numpy in Arrow batches); only (row, fingerprint) moves on.
    Copies collapse to one distinct fingerprint before any search, so hot groups of copies cost nothing further.
-2. The upper tree comes from a bounded hash sample of the distinct fingerprints. Each node holds a vantage point and a
-   radius t: points at distance <= t go inside, the others outside, and outside points at distance <= t + r go inside
-   as well (r: the largest linking distance). By the triangle inequality two points within r of each other meet in at
-   least one leaf, so querying each leaf (shard) on its own finds every pair exactly.
+2. The upper trees come from a bounded hash sample of the distinct fingerprints. Each node holds a vantage point and a
+   radius t over some of the bits; linked points differ by at most ``slack`` in these bits. Points at distance <= t go
+   inside, the others outside, and outside points at distance <= t + slack go inside as well. By the triangle
+   inequality two such points meet in at least one leaf, so querying each leaf (shard) on its own finds them exactly.
+   - The bits are cut into r + 1 blocks (r: the largest linking distance), with a tree for each. Linked points agree in
+     at least one block; in its tree slack is 0, so nothing is copied over a boundary. A fingerprint thus goes to r + 1
+     shards, however many fingerprints there are. One tree over all bits would copy a fifth of the points at every
+     cut, and so ever more of them as the table grows.
+   - Where points agree in a whole block and are still too many, cuts go on over all bits, with slack r and boundary
+     copies. A cut is taken only if repeating it would make at most about the square root of n copies of a point.
 3. Inside a shard the same recursion goes on in memory, down to small blocks that are compared bit by bit. A block
-   that no vantage point can split is searched by flipping up to r bits, which is linear in its size.
+   that no vantage point can split is searched by flipping up to r of the bits that vary in it, which is linear in its
+   size.
 4. Shards emit a spanning forest (a point and the representative it hangs on), never all pairs of a group; components
    of the forest edges are found with Spark joins.
 
@@ -18,6 +25,8 @@ an empty table gives an empty result; extra columns are ignored; texts are hashe
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +36,12 @@ from critica.llm.graph import connected_components
 SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
-SHARD_POINTS = 50_000  # distinct fingerprints a shard should hold before boundary copies
-SAMPLE_POINTS = 100_000  # bound of the sample from which the upper tree is built
+SHARD_POINTS = 50_000  # distinct fingerprints a shard should hold
+SAMPLE_POINTS = 100_000  # size of the sample from which the upper trees are built (at most twice as many)
+LEAF_SAMPLE = 8  # sampled points a leaf holds at least: beyond 6e8 fingerprints shards grow instead (8 bytes a point)
+DEAL_POINTS = 1 << 18  # points a task routes at once: a tree of many leaves is walked once for all of them
 BLOCK = 384  # points compared bit by bit
+ALL_BITS = (1 << 64) - 1
 
 
 def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
@@ -73,52 +85,72 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 # --- vantage-point tree ------------------------------------------------------------------------------------------
 
-def distance(points, vantage):
+def bit_blocks(r: int):
+    """r + 1 masks that share the 64 bits out: points that differ in at most r bits agree in one of them."""
+    edges = [64 * k // (r + 1) for k in range(r + 2)]
+    return [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+
+
+def distance(points, vantage, mask: int = ALL_BITS):
     import numpy as np
 
-    return np.bitwise_count(points ^ vantage)
+    return np.bitwise_count((points ^ vantage) & np.uint64(mask))
 
 
-def best_split(points, r: int, tries: int = 6):
-    """(vantage, radius) with the fewest points in the larger side including boundary copies; None if nothing helps."""
+def best_cut(points, mask: int, slack: int, tries: int = 6):
+    """(vantage, t, mask, slack) of the cut whose repetition makes the fewest copies, None if no cut helps.
+
+    A cut that makes T * n points of n, the larger side holding m * n, leads to about n ** (log T / log(1 / m)) copies
+    of a point. Without slack there are no copies and the even cut is best.
+    """
     import numpy as np
 
-    best, found = 0.9 * len(points), None
+    n, best, found = len(points), (0.5, 0.97 if slack == 0 else 0.9), None
     for k in range(tries):
-        v = points[(k * len(points)) // tries]
+        v = points[(k * n) // tries]
         if k % 2:
-            v = ~v ^ (points[len(points) // 3] >> np.uint64(k))  # also points outside the data
-        below = np.cumsum(np.bincount(distance(points, v), minlength=65 + r))
-        inside = below[r:65 + r]  # with boundary copies, for t = 0 .. 64
-        outside = len(points) - below[:65]
-        cost = np.maximum(inside, outside)
-        t = int(cost.argmin())
-        if cost[t] < best:
-            best, found = cost[t], (v, t)
+            v = ~v ^ (points[n // 3] >> np.uint64(k))  # also points outside the data
+        below = np.cumsum(np.bincount(distance(points, v, mask), minlength=65 + slack))
+        inside, outside = below[slack:65 + slack], n - below[:65]  # for t = 0 .. 64, inside with boundary copies
+        larger = np.maximum(inside, outside) / n
+        for t in np.flatnonzero(larger < best[1] if slack == 0 else larger < 0.9).tolist():
+            growth = np.log((inside[t] + outside[t]) / n) / -np.log(larger[t]) if slack else 0.0
+            if growth <= 0.5 and (growth, larger[t]) < best:
+                best, found = (growth, larger[t]), (v, t, mask, slack)
     return found
 
 
-def build_tree(points, r: int, leaf_points: float):
-    """Upper tree over a sample: nested (vantage, t, inside, outside) tuples with shard numbers as leaves."""
-    numbers = iter(range(1 << 40))
+def cut_for(points, mask: int, r: int):
+    """A cut in the block ``mask``, in which linked points agree; over all bits where the block holds nothing more."""
+    return best_cut(points, mask, 0) or best_cut(points, ALL_BITS, r)
+
 
-    def grow(p):
-        split = best_split(p, r) if len(p) > leaf_points else None
-        if split is None:
+def sides(points, cut):
+    """The points inside a cut, with boundary copies, and those outside."""
+    v, t, mask, slack = cut
+    d = distance(points, v, mask)
+    return points[d <= t + slack], points[d > t]
+
+
+def build_forest(points, r: int, leaf_points: float):
+    """Upper trees over a sample, one per block of bits: nested (cut, inside, outside) tuples with shard numbers as
+    leaves; the number modulo r + 1 tells the block."""
+    def grow(p, mask, numbers):
+        cut = cut_for(p, mask, r) if len(p) > leaf_points else None
+        if cut is None:
             return next(numbers)
-        d = distance(p, split[0])
-        return (*split, grow(p[d <= split[1] + r]), grow(p[d > split[1]]))
+        inside, outside = sides(p, cut)
+        return cut, grow(inside, mask, numbers), grow(outside, mask, numbers)
 
-    return grow(points)
+    return [grow(points, mask, count(k, r + 1)) for k, mask in enumerate(bit_blocks(r))]
 
 
-def route(points, tree, r: int):
-    """[(shard, points)] of every leaf that a point or its boundary copies reach."""
+def route(points, tree):
+    """[(shard, points)] of every leaf of a tree that a point or its boundary copies reach."""
     if not isinstance(tree, tuple):
         return [(tree, points)] if len(points) else []
-    v, t, inside, outside = tree
-    d = distance(points, v)
-    return route(points[d <= t + r], inside, r) + route(points[d > t], outside, r)
+    inside, outside = sides(points, tree[0])
+    return route(inside, tree[1]) + route(outside, tree[2])
 
 
 def _hook(labels, i, j):
@@ -153,14 +185,15 @@ def _block_links(p, r: int):
 
 
 def _flip_links(p, r: int):
-    """Spanning edges of a block that cannot be split: look up every neighbour made by flipping up to r bits."""
+    """Spanning edges of a block that cannot be split: look up every neighbour made by flipping up to r bits that vary."""
     import numpy as np
     from itertools import combinations
 
     p = np.sort(p)
     labels = np.arange(len(p))
+    vary = int(np.bitwise_or.reduce(p ^ p[0]))
     for w in range(1, r + 1):
-        for bits in combinations(range(64), w):
+        for bits in combinations([b for b in range(64) if vary >> b & 1], w):
             other = p ^ np.uint64(sum(1 << b for b in bits))
             at = np.searchsorted(p, other)
             hit = np.flatnonzero(p[np.minimum(at, len(p) - 1)] == other)
@@ -171,17 +204,18 @@ def _flip_links(p, r: int):
     return p[k], p[labels[k]]
 
 
-def shard_links(points, r: int, block: int = BLOCK):
-    """[(points, representatives)]: spanning edges that connect every pair within distance r (distinct uint64)."""
+def shard_links(points, r: int, mask: int, block: int = BLOCK):
+    """[(points, representatives)]: spanning edges that connect every pair of distinct points (uint64) that is within
+    distance r and agrees in the bits of ``mask``."""
     if len(points) < 2:
         return []
     if len(points) <= block:
         return [_block_links(points, r)]
-    split = best_split(points, r)
-    if split is None:
+    cut = cut_for(points, mask, r)
+    if cut is None:
         return [_block_links(points, r) if len(points) <= 8 * block else _flip_links(points, r)]
-    d = distance(points, split[0])
-    return shard_links(points[d <= split[1] + r], r, block) + shard_links(points[d > split[1]], r, block)
+    inside, outside = sides(points, cut)
+    return shard_links(inside, r, mask, block) + shard_links(outside, r, mask, block)
 
 
 def link_edges(fps: DataFrame, n: int, max_bits: int = MAX_BITS, shard_points: int = SHARD_POINTS,
@@ -189,27 +223,38 @@ def link_edges(fps: DataFrame, n: int, max_bits: int = MAX_BITS, shard_points: i
     """Spanning edges (u, v) over the distinct fingerprints ``fps`` (column fp; ``n`` rows)."""
     import numpy as np
 
-    if n <= shard_points:
-        tree = 0
-    else:
+    masks = bit_blocks(max_bits)
+    forest = list(range(len(masks)))  # a small table has one shard per block
+    if n > shard_points:
         every = max(1, -(-n // sample_points))
         sample = fps.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).limit(2 * sample_points).toPandas()["fp"]
         points = np.sort(sample.to_numpy(np.int64).view(np.uint64))
-        tree = build_tree(points, max_bits, max(1.0, len(points) * shard_points / n))
+        forest = build_forest(points, max_bits, max(LEAF_SAMPLE, len(points) * shard_points / n))
 
     def deal(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            for shard, p in route(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), tree, max_bits):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(p), shard, np.int64)), pa.array(p.view(np.int64))],
-                                                 ["shard", "fp"])
+        def routed(points):
+            parts = [part for tree in forest for part in route(points, tree)]
+            shards = np.repeat(np.array([k for k, _ in parts], np.int64), [len(p) for _, p in parts])
+            return pa.RecordBatch.from_arrays([pa.array(shards), pa.array(np.concatenate([p for _, p in parts]).view(np.int64))],
+                                              ["shard", "fp"])
 
-    def search(table):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            n += len(held[-1])
+            if n >= DEAL_POINTS:
+                yield routed(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield routed(np.concatenate(held))
+
+    def search(key, table):
         import pyarrow as pa
 
         p = table.column("fp").to_numpy().view(np.uint64)
-        parts = shard_links(np.sort(p), max_bits)
+        parts = shard_links(np.sort(p), max_bits, masks[key[0].as_py() % len(masks)])
         u = np.concatenate([a for a, _ in parts] + [p[:0]])
         v = np.concatenate([b for _, b in parts] + [p[:0]])
         both = np.unique(np.stack([u, v], axis=1), axis=0) if len(u) else np.zeros((0, 2), np.uint64)

@@ -79,18 +79,62 @@ def same_partition(points, parts, r):
     return len(set(want)) == len(set(mine)) and len(set(zip(want, mine))) == len(set(want))
 
 
-@pytest.mark.parametrize("r", [1, 2])
+def test_blocks_share_the_bits():
+    for r in range(6):
+        masks = S.bit_blocks(r)
+        assert len(masks) == r + 1 and sum(masks) == S.ALL_BITS
+        assert all(a & b == 0 for a, b in combinations(masks, 2))
+
+
+@pytest.mark.parametrize("r", [0, 1, 2, 5])
 def test_shards_find_every_link(r):
     p = planted(900)
-    assert same_partition(p, S.shard_links(p, r, block=32), r)
+    parts = [e for mask in S.bit_blocks(r) for e in S.shard_links(p, r, mask, block=32)]
+    assert same_partition(p, parts, r)
 
 
-def test_upper_tree_and_boundary_copies_lose_no_link():
+@pytest.mark.parametrize("r", [1, 2])
+def test_upper_trees_lose_no_link(r):
     p = planted(900, seed=3)
-    tree = S.build_tree(p[::3], 2, 40)
-    assert isinstance(tree, tuple)
-    parts = [e for _, shard in S.route(p, tree, 2) for e in S.shard_links(shard, 2, block=16)]
-    assert same_partition(p, parts, 2)
+    forest = S.build_forest(p[::3], r, 40)
+    masks = S.bit_blocks(r)
+    assert all(isinstance(tree, tuple) for tree in forest)
+    shards = [part for tree in forest for part in S.route(p, tree)]
+    assert len({k for k, _ in shards}) == len(shards)
+    parts = [e for k, shard in shards for e in S.shard_links(shard, r, masks[k % len(masks)], block=16)]
+    assert same_partition(p, parts, r)
+
+
+def test_boundary_copies_lose_no_link():
+    """Points that agree in a block are cut over all bits: whoever is near the boundary is on both sides."""
+    rng = np.random.default_rng(7)
+    mask = S.bit_blocks(2)[0]
+    p = np.unique(planted(3000, seed=5) & ~np.uint64(mask) | np.uint64(0x155))
+    cut = S.cut_for(p, mask, 2)
+    assert cut[2:] == (S.ALL_BITS, 2)
+    inside, outside = S.sides(p, cut)
+    assert set(inside.tolist()) & set(outside.tolist())
+    assert max(len(inside), len(outside)) < 0.9 * len(p)
+    assert same_partition(p, S.shard_links(p[rng.permutation(len(p))], 2, mask, block=64), 2)
+
+
+@pytest.mark.parametrize("n", [100_000, 400_000, 1_600_000])
+def test_copies_and_shards_do_not_grow_with_the_table(n):
+    rng = np.random.default_rng(n)
+    p = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64))
+    sample = np.sort(rng.permutation(p)[:20_000])
+    forest = S.build_forest(sample, 2, max(S.LEAF_SAMPLE, len(sample) * 20_000 / n))
+    sizes = [len(part) for tree in forest for _, part in S.route(p, tree)]
+    assert sum(sizes) == 3 * len(p)
+    assert max(sizes) < 25_000
+
+
+def test_links_through_shards_equal_one_shard(spark):
+    p = planted(6000, seed=11)
+    fps = spark.createDataFrame([(int(x),) for x in p.view(np.int64)], "fp bigint").repartition(4)
+    found = [{(r.node, r.root) for r in connected_components(S.link_edges(fps, len(p), 2, shard_points, 1500)).collect()}
+             for shard_points in (300, len(p))]
+    assert found[0] == found[1] and found[0]
 
 
 def test_block_that_cannot_be_split():
