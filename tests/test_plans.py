@@ -32,6 +32,18 @@ def test_silver_has_one_shuffle_and_a_map_side_limit(spark):
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan   # no Python UDF in the hot path
 
 
+def test_texts_stay_where_they_are_read(spark, tmp):
+    """Readers of silver without the text column: it is gone before the dedup window, scored and measured already."""
+    from conftest import flat_df, review_row
+    from critica.operators import silver as sv
+    flat_df(spark, [review_row(recommendationid=f"r{i}") for i in range(5)]).write.parquet(f"{tmp}/flat")
+    flat = spark.read.parquet(f"{tmp}/flat")
+    for out in (sv.silver(flat).drop("review"), sv.silver(flat, stats=sv.SilverStats()).drop("review")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        above, md5, _ = plan.partition("md5(cast(review#")
+        assert md5 and not re.search(r"\breview#", above.rpartition("\n")[0]), plan
+
+
 def test_row_index_avoids_single_partition_windows_on_data(spark):
     from critica.operators.index import row_index
     df = spark.range(0, 20000).withColumn("g", (F.col("id") % 3).cast("string"))
