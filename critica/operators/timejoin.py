@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from critica.session import checkpoint_dir
+from critica.session import materialized
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | position in partition
 
@@ -35,7 +35,6 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     clash = set(values) & set(left.columns)
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
-    checkpoint_dir(left.sparkSession)
     on = list(on)
     value = F.struct(F.col(right_time).alias("asof_time"), *values)
     usable = F.lit(True)
@@ -48,9 +47,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     keys = [f"k{i}__" for i in range(len(on))]
     both = rows.unionByName(known, allowMissingColumns=True)
     sort = [*keys, "t__", "side__", "value__"]  # at equal times values come first
-    ranged = (both.repartitionByRange(*sort).sortWithinPartitions(*sort)
-              .withColumn("at__", F.monotonically_increasing_id()).checkpoint(eager=True)
-              .withColumn("part__", F.shiftright("at__", _LOCAL_BITS)))
+    ranged = materialized(both.repartitionByRange(*sort).sortWithinPartitions(*sort)
+                          .withColumn("at__", F.monotonically_increasing_id()), "asof") \
+        .withColumn("part__", F.shiftright("at__", _LOCAL_BITS))
     above = Window.partitionBy("part__", *keys).orderBy("at__").rowsBetween(Window.unboundedPreceding, 0)
     filled = ranged.withColumn("found__", F.last("value__", ignorenulls=True).over(above)).where("side__ = 1")
     # what each partition leaves behind per key, and what the partitions before it left for its keys
@@ -92,7 +91,7 @@ def interval_join(points: DataFrame, spans: DataFrame, on: Sequence[str], time:
     """Pairs of rows of ``points`` and ``spans`` with equal keys and start <= time < end.
 
     Times are integers (for timestamps: ``unix_micros``); ``cell`` is the width of a cell in the same unit, about the
-    least span that is common. The keys come once; no other column name may be on both sides. Null keys and times and
+    least span that is common. The spans are written once to the shared folder: pass the columns that are needed. The keys come once; no other column name may be on both sides. Null keys and times and
     empty spans match nothing.
     """
     on = list(on)
@@ -104,7 +103,7 @@ def interval_join(points: DataFrame, spans: DataFrame, on: Sequence[str], time:
         t, width = c.cast("bigint"), F.lit(cell).cast("bigint")
         return F.call_function("div", t - F.pmod(t, width), width)  # rounded down, in whole numbers
 
-    real = spans.where(F.col(start) < F.col(end))
+    real = materialized(spans.where(F.col(start) < F.col(end)), "spans")  # read for its levels and for the join
     covered = real.withColumn("n__", F.explode(dyadic_cover(cell_of(F.col(start)), cell_of(F.col(end) - 1) + 1))) \
         .select("*", F.col("n__.level").alias("level__"), F.col("n__.node").alias("node__")).drop("n__")
     levels = sorted(r[0] for r in covered.select("level__").distinct().collect())  # at most 64 numbers

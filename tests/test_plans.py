@@ -104,3 +104,26 @@ def test_text_is_dropped_before_the_joins(spark, name):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         carried = [x for x in plan.splitlines() if re.search(r"\b(review|text)#", x)]
         assert all(re.search(r"Relation|md5\(text#|RLIKE", x) for x in carried), carried
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_loads_and_spans_are_derived_once(spark):
+    """What is read several times comes from a table written once, not from the order lines again."""
+    from critica.plans.queries import QUERIES
+    for name in ("load_difference", "interval_matches"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan, (name, plan)
+
+
+def test_ordered_frames_are_kept_as_tables(spark):
+    """Positions and as-of rows are written as sorted columns, not as serialised rows of a checkpoint."""
+    from critica.operators.index import row_index
+    from critica.operators.timejoin import asof_join
+    left = spark.createDataFrame([(1, 5), (1, 7), (None, 3), (2, 1)], "k int, t int")
+    right = spark.createDataFrame([(1, 4, "a"), (1, 6, "b")], "k int, u int, v string")
+    joined = asof_join(left, right, ["k"], "t", "u", ["v"])
+    placed = row_index(left, [F.col("t")], groups=["k"], name="j")
+    assert sorted(map(tuple, joined.select("t", "v").collect())) == [(1, None), (3, None), (5, "a"), (7, "b")]
+    assert sorted(map(tuple, placed.select("t", "j").collect())) == [(1, 0), (3, 0), (5, 0), (7, 1)]
+    for df in (joined, placed):
+        assert "LogicalRDD" not in df._jdf.queryExecution().optimizedPlan().toString()
