@@ -47,6 +47,16 @@ END = b"\n"  # the end token; no word holds white space
 FOLDS, HELD_OUT = 5, 1
 
 
+SLICE_ROWS = 1000  # texts of a batch that a task holds as Python objects at a time
+
+
+def slices(batches):
+    """The rows of Arrow batches, a few at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(a, SLICE_ROWS)
+
+
 def is_held_out(id_col):
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
 
@@ -63,7 +73,7 @@ def word_counts(train: DataFrame) -> DataFrame:
                                               ["word", "n"])
 
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             texts = bytes_list(batch.column(0))
             for raw in texts:
                 seen.update(raw.lower().split())
@@ -150,48 +160,71 @@ def start_parameters(vocabulary: Vocabulary):
 
 
 class NceTrainer:
-    """One task's pass of noise-contrastive estimation with AdaGrad steps."""
+    """One task's pass of noise-contrastive estimation with AdaGrad steps.
+
+    Both context tables stand one above the other, and a symbol's bias stands beside its vector, so that a batch is
+    sorted by symbol once for the contexts and once for the observed and noise symbols; ``p`` names the parts.
+    """
 
     def __init__(self, params, shares, seed: int):
         import numpy as np
 
         self.np = np
-        self.p = {k: v.copy() for k, v in params.items()}
-        self.g2 = {k: np.full(v.shape, 1e-2, np.float32) for k, v in params.items()}
+        self.size = len(params["b"])
+        self.contexts = np.concatenate([params["c1"], params["c2"]])
+        self.outputs = np.concatenate([params["r"], params["b"][:, None]], axis=1)
+        self.p = {"c1": self.contexts[:self.size], "c2": self.contexts[self.size:],
+                  "r": self.outputs[:, :-1], "b": self.outputs[:, -1]}
+        self.squares = {"contexts": np.full(self.contexts.shape, 1e-2, np.float32),
+                        "outputs": np.full(self.outputs.shape, 1e-2, np.float32)}
         self.rng = np.random.default_rng(seed)
         self.cumulative = np.cumsum(shares)
         self.log_noise = np.log(NOISE * shares).astype(np.float32)
         self.seen = 0
 
     def descend(self, k, at, rows, size):
-        """AdaGrad step of parameter ``k`` by the sums of rows per symbol; other symbols stay as they are."""
-        np = self.np
-        order = np.argsort(at, kind="stable")
+        """AdaGrad step of the table ``k`` by the sums of ``rows`` per index ``at``; other rows stay as they are."""
+        np, table, squares = self.np, getattr(self, k), self.squares[k]
+        order = np.argsort(at.astype(np.int16) if len(table) <= 1 << 15 else at, kind="stable")  # short ints: radix sort
         sorted_at = at[order]
-        heads = np.flatnonzero(np.append(True, sorted_at[1:] != sorted_at[:-1]))
-        g = np.add.reduceat(rows[order], heads, axis=0) / np.float32(size)
+        heads = np.flatnonzero(sorted_at[1:] != sorted_at[:-1])
+        heads += 1
+        heads = np.concatenate([[0], heads])
+        g = np.add.reduceat(rows[order], heads, axis=0)
+        g /= np.float32(size)
         ids = sorted_at[heads]
-        squares = self.g2[k][ids] + g * g
-        self.g2[k][ids] = squares
-        self.p[k][ids] -= RATE * g / np.sqrt(squares)
+        total = squares[ids]
+        total += g * g
+        squares[ids] = total
+        g *= np.float32(RATE)
+        g /= np.sqrt(total, out=total)
+        table[ids] -= g
 
     def step(self, u, v, w):
         """One batch: context symbols u (two before), v (one before), and the observed symbols w."""
-        np, p, n = self.np, self.p, len(w)
+        np, n, d = self.np, len(w), self.contexts.shape[1]
         noise = np.minimum(np.searchsorted(self.cumulative, self.rng.random(NOISE)), len(self.cumulative) - 1)
-        q = p["c1"][v] + p["c2"][u]
-        rw = p["r"][w]
-        pos = np.einsum("ij,ij->i", q, rw) + p["b"][w] - self.log_noise[w]
-        neg = q @ p["r"][noise].T + (p["b"][noise] - self.log_noise[noise])
-        gp = 1 / (1 + np.exp(-pos)) - 1  # d loss / d score of the observed symbols
-        gn = 1 / (1 + np.exp(-neg))  # of the noise symbols
-        gq = gp[:, None] * rw + gn @ p["r"][noise]
-        both, steps = np.concatenate([w, noise]), np.concatenate([gp, gn.sum(axis=0)])
-        targets = np.concatenate([gp[:, None] * q, gn.T @ q])
-        self.descend("c1", v, gq, n)
-        self.descend("c2", u, gq, n)
-        self.descend("r", both, targets, n)
-        self.descend("b", both, steps, n)
+        both, context = np.concatenate([w, noise]), np.concatenate([v, u + self.size])
+        q = np.ones((n, d + 1), np.float32)  # the one meets the bias
+        pairs = self.contexts[context]
+        np.add(pairs[:n], pairs[n:], out=q[:, :d])
+        out = self.outputs[both]
+        out[:, d] -= self.log_noise[both]
+        gp = np.einsum("ij,ij->i", q, out[:n])
+        gn = q @ out[n:].T
+        for x in (gp, gn):  # x becomes 1 / (1 + exp(-x))
+            np.negative(x, out=x)
+            np.exp(x, out=x)
+            x += 1
+            np.reciprocal(x, out=x)
+        gp -= 1  # d loss / d score of the observed symbols; gn: of the noise symbols
+        gq = gn @ out[n:, :d]
+        gq += gp[:, None] * out[:n, :d]
+        targets = np.empty((n + NOISE, d + 1), np.float32)
+        np.multiply(gp[:, None], q, out=targets[:n])
+        np.matmul(gn.T, q, out=targets[n:])
+        self.descend("contexts", context, np.concatenate([gq, gq]), n)
+        self.descend("outputs", both, targets, n)
         self.seen += n
 
 
@@ -200,7 +233,8 @@ def train_round(train: DataFrame, vocabulary, params, seed: int):
     import numpy as np
 
     shares = vocabulary.weights() / vocabulary.weights().sum()
-    shipped = train.sparkSession.sparkContext.broadcast((vocabulary.plain, params, shares))
+    words, endings, _, _, total, distinct = vocabulary.plain  # training needs no counts
+    shipped = train.sparkSession.sparkContext.broadcast(((words, endings, [], {}, total, distinct), params, shares))
     names = sorted(params)
 
     def run(batches):
@@ -214,7 +248,7 @@ def train_round(train: DataFrame, vocabulary, params, seed: int):
         held: list[int] = []
 
         # two end tokens stand before a document: -end - 1 marks positions that are context only
-        for batch in batches:
+        for batch in slices(batches):
             for raw in bytes_list(batch.column(0)):
                 words = raw.lower().split()
                 got = list(map(cache.get, words))
@@ -258,29 +292,28 @@ def learn_marked(trainer, symbols, np):
 
 
 class Scorer:
-    """Tables of log10 P(symbol | u, v): pair products and the normaliser of every context."""
+    """log10 P(symbol | u, v): inner products, and the tabled normaliser of every context. A task holds one table of all
+    pairs, not three."""
 
     def __init__(self, params, z=None):
         import numpy as np
 
-        p = {k: v.astype(np.float64) for k, v in params.items()}
-        size = len(p["b"])
-        self.size = size
-        self.one = p["c1"] @ p["r"].T + p["b"]  # (v, w)
-        self.two = p["c2"] @ p["r"].T  # (u, w)
+        self.p = {k: v.astype(np.float64) for k, v in params.items()}
+        self.size = len(self.p["b"])
         if z is not None:
             self.z = z
             return
-        top = self.one.max(axis=1)
-        e1 = np.exp(self.one - top[:, None])
-        high = self.two.max(axis=1)
-        e2 = np.exp(self.two - high[:, None])
+        p = self.p
+        one, two = p["c1"] @ p["r"].T + p["b"], p["c2"] @ p["r"].T  # (v, w), (u, w)
+        top, high = one.max(axis=1), two.max(axis=1)
+        e1, e2 = np.exp(one - top[:, None]), np.exp(two - high[:, None])
         self.z = np.log(e2 @ e1.T) + high[:, None] + top[None, :]  # (u, v): sum over w of exp(two + one)
 
     def log10(self, u, v, w):
         import numpy as np
 
-        return (self.one[v, w] + self.two[u, w] - self.z[u, v]) / np.log(10)
+        p = self.p
+        return (np.einsum("...j,...j->...", p["c1"][v] + p["c2"][u], p["r"][w]) + p["b"][w] - self.z[u, v]) / np.log(10)
 
 
 SCORED = ("rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
@@ -311,7 +344,7 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, params) -> DataFrame:
         end_at, end = index[END], vocab.symbol(END)
         endings, rest = vocab.ending_symbol, vocab.rest
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary())]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for raw in bytes_list(batch.column(3)):
                 words = raw.lower().split()

@@ -121,3 +121,39 @@ def test_noise_contrastive_training_learns_the_context():
 
 def test_empty_table(spark):
     assert M.lm_scores(empty(spark)).count() == 0
+
+
+def test_a_step_sorts_twice_and_equals_the_plain_rule():
+    """AdaGrad by the sums per symbol, restated row by row; contexts and outputs are sorted once each."""
+    rng = np.random.default_rng(5)
+    size = 12
+    shares = np.full(size, 1 / size)
+    p = {k: rng.standard_normal((size, M.DIM)).astype(np.float32) * 0.3 for k in ("c1", "c2", "r")} | {"b": np.log(shares).astype(np.float32)}
+    t = M.NceTrainer(p, shares, 1)
+    sorts, descend = [], t.descend
+    t.descend = lambda *a: sorts.append(a[0]) or descend(*a)
+    u, v, w = (rng.integers(0, size, 40) for _ in range(3))
+    noise = np.minimum(np.searchsorted(t.cumulative, np.random.default_rng(1).random(M.NOISE)), size - 1)
+    t.step(u, v, w)
+    g = {k: np.zeros(x.shape) for k, x in p.items()}
+    for a, b, c in zip(u, v, w):
+        q = p["c1"][b] + p["c2"][a]
+        for s, label in [(c, 1.0), *((x, 0.0) for x in noise)]:
+            d = 1 / (1 + math.exp(-(q @ p["r"][s] + p["b"][s] - math.log(M.NOISE / size)))) - label
+            g["c1"][b] += d * p["r"][s]
+            g["c2"][a] += d * p["r"][s]
+            g["r"][s] += d * q
+            g["b"][s] += d
+    for k in p:
+        step = g[k] / 40
+        assert np.allclose(t.p[k], p[k] - M.RATE * step / np.sqrt(1e-2 + step * step), atol=1e-5), k
+    assert len(sorts) == 2
+
+
+def test_a_scoring_task_holds_one_table_of_pairs():
+    v, p = tiny()
+    whole = M.Scorer(p)
+    task = M.Scorer(p, whole.z)
+    assert [k for k, x in vars(task).items() if getattr(x, "shape", None) == (v.size, v.size)] == ["z"]
+    u, w = np.arange(v.size), np.arange(v.size)[::-1]
+    assert np.array_equal(task.log10(u, w, u), whole.log10(u, w, u))
