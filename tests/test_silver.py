@@ -139,3 +139,23 @@ def test_versions_that_tie_on_everything_but_the_vote(spark):
     b = review_row(recommendationid="t", voted_up=False)
     kept = {tuple(sv.deduplicate(flat_df(spark, rows)).select("voted_up").first()) for rows in ([a, b], [b, a])}
     assert len(kept) == 1
+
+
+def test_tasks_that_hold_texts_grow_with_the_lines(spark, tmp, monkeypatch):
+    """Lines that meet their texts are dealt by number, not by their own narrow size; without texts adaptive execution decides."""
+    import datetime as dt
+
+    from critica.sources import tables
+    day = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(i // 3, i % 5, 1, i % 3, 1.0, 100.0, 0.1, 0.0, "N", "O", day) for i in range(30)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp}/lineitem.parquet")
+    spark.createDataFrame([(i, i, "O", day) for i in range(10)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz") \
+        .write.parquet(f"{tmp}/orders.parquet")
+    spark.createDataFrame([(i, f"good text {i}", "en") for i in range(4)], "doc_id long, text string, lang string").write.parquet(f"{tmp}/documents.parquet")
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 8)
+    plan = tables.reviews_view(spark, tmp)._jdf.queryExecution().executedPlan().toString()
+    assert "4), REPARTITION_BY_NUM" in plan, plan
+    assert tables.reviews_view(spark, tmp).count() == 30
+    assert "REPARTITION_BY_NUM" not in tables.reviews_view(spark, tmp, text=False)._jdf.queryExecution().executedPlan().toString()

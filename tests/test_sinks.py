@@ -97,3 +97,22 @@ def test_tables_by_name(spark):
     if os.path.isdir("/root/testdata/sf0.001"):
         register_views(spark, "/root/testdata/sf0.001", ("region", "nation"))
         assert spark.sql("select count(*) as n from nation join region on n_regionkey = r_regionkey").first()["n"] == 25
+
+
+def test_copies_of_texts_are_packed_tighter_than_published_tables(spark, tmp):
+    """Intermediate tables and the staging copy of silver are zstd; silver itself stays snappy."""
+    import glob
+
+    from conftest import flat_df, review_row
+    from critica.operators.silver import silver
+    from critica.schemas import SILVER_SCHEMA
+    from critica.session import materialized
+    from critica.sources.sinks import load_staging, write_silver
+    rows = materialized(silver(flat_df(spark, [review_row(recommendationid=f"r{i}") for i in range(5)])).select(*SILVER_SCHEMA.names), "silver")
+    assert all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
+    load_staging(rows, f"{tmp}/staging", SILVER_SCHEMA)
+    write_silver(rows, f"{tmp}/silver")
+    files = {k: glob.glob(f"{tmp}/{k}/**/*.parquet", recursive=True) for k in ("staging", "silver")}
+    assert files["staging"] and all(f.endswith(".zstd.parquet") for f in files["staging"])
+    assert files["silver"] and all(f.endswith(".snappy.parquet") for f in files["silver"])
+    assert spark.read.parquet(f"{tmp}/staging").count() == rows.count() == 5
