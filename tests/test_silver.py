@@ -158,4 +158,6 @@ def test_tasks_that_hold_texts_grow_with_the_lines(spark, tmp, monkeypatch):
     plan = tables.reviews_view(spark, tmp)._jdf.queryExecution().executedPlan().toString()
     assert "4), REPARTITION_BY_NUM" in plan, plan
     assert tables.reviews_view(spark, tmp).count() == 30
+    monkeypatch.setattr(tables, "LINES_PER_TASK", 50)
+    assert "REPARTITION_BY_COL" in tables.reviews_view(spark, tmp)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" not in tables.reviews_view(spark, tmp, text=False)._jdf.queryExecution().executedPlan().toString()
